@@ -85,11 +85,11 @@ def approved_runs(runs: DataFrame, decisions: DataFrame, key: str = "run_id") ->
 # K4 --------------------------------------------------------------------------
 def audit_event(run_id, event_type: str, status: str, at, reason=None, details=None) -> dict:
     """One audit item as a plain row dict (for createDataFrame / append)."""
-    return {"run_id": run_id, "event_type": event_type, "status": status, "at": at,
+    return {"run_id": run_id, "event_type": event_type, "status": status, "put_at": at,
             "reason": reason, "details": details}
 
 
-def audit_latest(audit: DataFrame, key: str = "run_id", time_col: str = "at",
+def audit_latest(audit: DataFrame, key: str = "run_id", time_col: str = "put_at",
                  value_cols=("status", "reason"), tie_col: str | None = None) -> DataFrame:
     """Key-value semantics of the audit table: a put on (run_id, event_type)
     overwrites, so the latest write per key wins. Implemented as max over a
