@@ -16,10 +16,25 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def mark_bounded(df: DataFrame, rows: int) -> DataFrame:
+    """Record a proven upper bound on the rows of ``df`` (e.g. data built from
+    a literal list, or a frame that already passed ``is_bounded``)."""
+    df._lakegov_max_rows = rows  # plain attribute on this DataFrame object
+    return df
+
+
 def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads at most
-    max_rows + 1 rows, so the check stays cheap on any input."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows. Uses a recorded bound
+    when there is one; otherwise reads at most max_rows + 1 rows, so the
+    check stays cheap on any input."""
+    known = getattr(df, "_lakegov_max_rows", None)
+    if known is not None and known <= max_rows:
+        return True
+    n = df.limit(max_rows + 1).count()
+    if n <= max_rows:
+        mark_bounded(df, n)
+        return True
+    return False
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

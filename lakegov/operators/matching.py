@@ -30,7 +30,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegov.functions.expr import norm_name, similarity
-from lakegov.operators.enrich import maybe_broadcast
 
 # --- fixed values: match vocabulary ----------------------------------------
 AUTO_MERGE, STEWARD_REVIEW = "AUTO_MERGE", "STEWARD_REVIEW"
@@ -215,7 +214,9 @@ def pending_ids(matches: DataFrame, records: DataFrame, key: str, name: str, blo
     """G1: distinct ids on either side of a STEWARD_REVIEW pair, found by a
     semi-join of the members to the pending names (no pair expansion)."""
     mem = normalize_members(records, key, name, block, collapse_spaces)
-    pn = maybe_broadcast(pending_names(matches).withColumnsRenamed({"block": "_block", "name": "_name"}))
+    # the pending-name set is derived: AQE broadcasts it at runtime when its
+    # measured size is small, else keeps the shuffle join (skew-split by AQE)
+    pn = pending_names(matches).withColumnsRenamed({"block": "_block", "name": "_name"})
     return mem.join(pn, ["_block", "_name"], "left_semi").select(F.col("_id").alias(key)).dropDuplicates()
 
 
@@ -228,7 +229,7 @@ def stage_records(records: DataFrame, matches: DataFrame, key: str, name: str, b
     pn = pending_names(matches).select(F.col("block").alias("_b"), F.col("name").alias("_nm"),
                                        F.lit(True).alias("_pending"))
     keyed = records.withColumns({"_b": blk, "_nm": norm_name(name, collapse_spaces)})
-    out = keyed.join(maybe_broadcast(pn), ["_b", "_nm"], "left")
+    out = keyed.join(pn, ["_b", "_nm"], "left")  # AQE picks broadcast from measured size
     return (out.withColumn("status", F.when(F.col("_pending"), F.lit(PENDING)).otherwise(F.lit(APPROVED)))
             .drop("_b", "_nm", "_pending")
             .withColumns({"batch_id": F.lit(batch_id), "source_file": F.lit(source_file).cast("string")}))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakegov.operators.enrich import BROADCAST_MAX_ROWS, is_bounded, maybe_broadcast
+from lakegov.operators.enrich import BROADCAST_MAX_ROWS, is_bounded, mark_bounded, maybe_broadcast
 from lakegov.sources.seeds import UNKNOWN_PAYMENT_TYPE, UNKNOWN_RATE_CODE
 
 
@@ -34,11 +34,18 @@ def surrogate_key(df: DataFrame, name: str, order_by: Sequence[str] | None = Non
             raise ValueError(f"dimension too large for ordered keys (> {max_rows} rows); "
                              "use surrogate_key without order_by")
         w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
-        return df.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
+        out = df.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
+        return mark_bounded(out, getattr(df, "_lakegov_max_rows", max_rows))
     return df.withColumn(name, F.monotonically_increasing_id() + F.lit(start))
 
 
 # J1–J4 -----------------------------------------------------------------------
+def _carry(src: DataFrame, dst: DataFrame) -> DataFrame:
+    """Filters and projections never add rows: keep a proven bound."""
+    known = getattr(src, "_lakegov_max_rows", None)
+    return mark_bounded(dst, known) if known is not None else dst
+
+
 def build_zone_dim(zone_master: DataFrame) -> DataFrame:
     """Current zone masters -> zone_dim (zone_sk, location_id, attributes,
     lineage)."""
@@ -49,28 +56,28 @@ def build_zone_dim(zone_master: DataFrame) -> DataFrame:
     for c, alias in (("golden_sk", "mdm_golden_sk"), ("snapshot_id", "snapshot_id"), ("snapshot_ts", "snapshot_ts")):
         if c in m.columns:
             cols.append(F.col(c).alias(alias))
-    return surrogate_key(m.select(*cols), "zone_sk", ["location_id"])
+    return surrogate_key(_carry(zone_master, m.select(*cols)), "zone_sk", ["location_id"])
 
 
 def build_vendor_dim(vendor_master: DataFrame) -> DataFrame:
     """Current vendor masters -> vendor_dim."""
     m = vendor_master.filter(F.col("is_current")) if "is_current" in vendor_master.columns else vendor_master
-    return surrogate_key(m.select(F.col("vendor_id").cast("int").alias("vendor_id"), "vendor_name"),
-                         "vendor_sk", ["vendor_id"])
+    m = m.select(F.col("vendor_id").cast("int").alias("vendor_id"), "vendor_name")
+    return surrogate_key(_carry(vendor_master, m), "vendor_sk", ["vendor_id"])
 
 
 def build_ratecode_dim(rate_master: DataFrame) -> DataFrame:
     """Current rate-code masters -> ratecode_dim."""
     m = rate_master.filter(F.col("is_current")) if "is_current" in rate_master.columns else rate_master
-    return surrogate_key(m.select(F.col("rate_code_id").cast("int").alias("rate_code_id"), "rate_code_name"),
-                         "ratecode_sk", ["rate_code_id"])
+    m = m.select(F.col("rate_code_id").cast("int").alias("rate_code_id"), "rate_code_name")
+    return surrogate_key(_carry(rate_master, m), "ratecode_sk", ["rate_code_id"])
 
 
 def build_payment_dim(payment_seed: DataFrame) -> DataFrame:
     """Static payment types (full reload each build)."""
-    return surrogate_key(payment_seed.select("payment_type_id", "payment_type_name", "description")
-                         .withColumn("record_source", F.lit("TLC data dictionary")),
-                         "payment_type_sk", ["payment_type_id"])
+    m = (payment_seed.select("payment_type_id", "payment_type_name", "description")
+         .withColumn("record_source", F.lit("TLC data dictionary")))
+    return surrogate_key(_carry(payment_seed, m), "payment_type_sk", ["payment_type_id"])
 
 
 # C10 / J5 --------------------------------------------------------------------

@@ -50,8 +50,20 @@ def good_trips(spark: SparkSession, sf: str) -> DataFrame:
     return quality.stamp(good, run_id=RUN_ID, ingested_at_utc=INGESTED_AT)
 
 
+_MEMO: dict = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf: str, build):
+    """Plans (not data) of the small dimension inputs, built once per session
+    and folder so their size checks run once; execution stays lazy."""
+    k = (kind, id(spark), sf)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
+
+
 def zones(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.canonical_zone(B.zone_master(spark, sf))
+    return _memo("zones", spark, sf, lambda: quality.canonical_zone(B.zone_master(spark, sf)))
 
 
 def curated_trips(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,12 +71,12 @@ def curated_trips(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {
+    return _memo("dims", spark, sf, lambda: {
         "vendor_dim": star.build_vendor_dim(seeds.seed(spark, "vendor")),
         "ratecode_dim": star.build_ratecode_dim(seeds.seed(spark, "rate_code")),
         "payment_dim": star.build_payment_dim(seeds.seed(spark, "payment_type")),
         "zone_dim": star.build_zone_dim(B.zone_master(spark, sf)),
-    }
+    })
 
 
 def fact(spark: SparkSession, sf: str, keep_business_keys: bool = False, with_fact_sk: bool = False) -> DataFrame:

@@ -24,14 +24,18 @@ DEFAULT_CONF = {
     # dims are broadcast explicitly after a size check; keep the automatic
     # threshold modest so a fact table is never broadcast by accident.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # runtime (measured) broadcast conversion for derived join sides
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
 }
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "lakegov") -> SparkSession:
+                app_name: str = "lakegov", driver_memory: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:  # only effective when this process launches the JVM (local runs)
+        builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

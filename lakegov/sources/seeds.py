@@ -50,8 +50,10 @@ _ROWS = {"payment_type": PAYMENT_TYPES, "vendor": VENDORS, "rate_code": RATE_COD
 
 
 def seed(spark: SparkSession, domain: str) -> DataFrame:
-    """The seed rows of one domain as a DataFrame."""
-    return spark.createDataFrame(_ROWS[domain], _SCHEMAS[domain])
+    """The seed rows of one domain as a DataFrame (bounded by construction)."""
+    df = spark.createDataFrame(_ROWS[domain], _SCHEMAS[domain])
+    df._lakegov_max_rows = len(_ROWS[domain])
+    return df
 
 
 def seed_sql(domain: str) -> str:
