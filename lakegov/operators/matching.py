@@ -107,10 +107,12 @@ def candidate_name_pairs(groups: DataFrame, steward_threshold: int) -> DataFrame
                      F.substring(F.col("_name"), st + 1, ln).alias("sig"))
     # probe side ---------------------------------------------------------
     # longer lengths Lr with Lr - d(Lr) <= Ls, i.e. Lr <= Ls * 200 / (2T - 1)
+    # (capped at the longest name of the block: no longer partner exists)
     ls = F.length("_name")
-    lr_max = F.floor(ls * F.lit(200) / F.lit(2 * T - 1)).cast("int")
-    pr = names.select("_block", F.col("_name").alias("s"), ls.alias("Ls"),
-                      F.explode(F.sequence(ls, lr_max)).alias("Lr"))
+    block_max = names.groupBy("_block").agg(F.max(F.length("_name")).alias("_maxlen"))
+    lr_max = F.least(F.floor(ls * F.lit(200) / F.lit(2 * T - 1)).cast("int"), F.col("_maxlen"))
+    pr = names.join(block_max, "_block").select(
+        "_block", F.col("_name").alias("s"), ls.alias("Ls"), F.explode(F.sequence(ls, lr_max)).alias("Lr"))
     pr = pr.withColumn("dr", _max_edits(F.col("Lr"), T)).filter(F.col("Lr") - F.col("dr") <= F.col("Ls"))
     pr = pr.select("*", F.explode(F.sequence(F.lit(0), F.col("dr"))).alias("i"))
     st, ln = _seg(F.col("i"), F.col("Lr"), F.col("dr"))
