@@ -88,7 +88,9 @@ def write_split(reasoned: DataFrame, good_base: str, bad_base: str, run_id: str,
         staged = staged.observe(observation,
                                 F.count_if(F.col("_q") == "good").alias("good_rows"),
                                 F.count_if(F.col("_q") == "bad").alias("bad_rows"))
-    tmp = f"{good_base.rstrip('/')}/_staging/run_id={run_id}"
+    # staged next to (not under) the validated prefix, so listings of the
+    # validated folder never see half-moved output
+    tmp = f"{good_base.rstrip('/')}__staging/run_id={run_id}"
     staged.write.mode("overwrite").partitionBy("_q").parquet(tmp)
     spark = reasoned.sparkSession
     good_out, bad_out = f"{good_base.rstrip('/')}/run_id={run_id}", f"{bad_base.rstrip('/')}/run_id={run_id}"
