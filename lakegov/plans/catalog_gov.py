@@ -233,3 +233,67 @@ def q_ingest_stream(spark, sf):
     q = ingest_stream(spark, sf, schema, f"{base}/sink", f"{base}/_checkpoint", transform, glob="part.parquet")
     run_to_completion(q)
     return spark.read.parquet(f"{base}/sink")
+
+
+# ==========================================================================
+# J2 over survivorship; A9 external view; A10 staging load; A11 run slice
+# ==========================================================================
+@register("vendor_dim", with_ctes(
+    [("cand", f"""
+SELECT CAST(s_suppkey % 8 AS INTEGER) AS vendor_id, s_name AS vendor_name, 2 AS source_rank,
+  CAST(NULL AS TIMESTAMP) AS updated_at, s_suppkey AS record_id FROM supplier
+UNION ALL SELECT vendor_id, vendor_name, 1, TIMESTAMP '{catalog_mdm.T1}', 0
+FROM ({catalog_mdm.seeds.seed_sql('vendor')})"""),
+     ("master", """
+SELECT vendor_id, vendor_name FROM (
+  SELECT *, row_number() OVER (PARTITION BY vendor_id ORDER BY source_rank,
+    COALESCE(updated_at, TIMESTAMP '0001-01-01') DESC, record_id DESC) AS rn FROM cand)
+WHERE rn = 1""")],
+    "SELECT vendor_id, vendor_name, row_number() OVER (ORDER BY vendor_id) AS vendor_sk FROM master"))
+def q_vendor_dim(spark, sf):
+    """Vendor dim rebuilt from the surviving vendor masters (E2 output)."""
+    from lakegov.operators import star
+    return star.build_vendor_dim(catalog_mdm.q_survivorship_vendor(spark, sf))
+
+
+@register("external_view", """
+SELECT p_brand, COUNT(*) AS parts, ROUND(SUM(p_retailprice), 2) AS retail FROM part GROUP BY p_brand""")
+def q_external_view(spark, sf):
+    """A catalog view over lake files, queried with Spark SQL."""
+    lake.register_external(spark, "lakegov_part_ext", f"{sf.rstrip('/')}/part.parquet")
+    return spark.sql("SELECT p_brand, COUNT(*) AS parts, ROUND(SUM(p_retailprice), 2) AS retail "
+                     "FROM lakegov_part_ext GROUP BY p_brand")
+
+
+STAGING_SCHEMA = ("golden_sk bigint, location_id int, borough string, zone string, service_zone string, "
+                  "effective_from timestamp_ntz, effective_to timestamp_ntz, is_current boolean, "
+                  "source_batch_id string, created_at timestamp_ntz, snapshot_id string, snapshot_ts timestamp_ntz")
+
+
+@register("load_staging", with_ctes([("stg", catalog_mdm.SNAP_STAGING_SQL)], """
+SELECT golden_sk, location_id, borough, zone, service_zone, effective_from, effective_to, is_current,
+  source_batch_id, created_at, snapshot_id, snapshot_ts FROM stg"""))
+def q_load_staging(spark, sf):
+    """A10: truncate + bulk load a snapshot into the staging table by column
+    name (its extra record_hash column is ignored, types are the table's)."""
+    base = work_dir(spark, "staging")
+    _, staging = catalog_mdm._snap_frames(spark, sf)
+    staging.write.mode("overwrite").parquet(f"{base}/snapshot")
+    lake.load_staging(spark, f"{base}/snapshot", STAGING_SCHEMA, f"{base}/zone_master_snapshot_raw")
+    # a second load replaces (truncate semantics), it does not append
+    return lake.load_staging(spark, f"{base}/snapshot", STAGING_SCHEMA, f"{base}/zone_master_snapshot_raw")
+
+
+@register("stage_curated", with_ctes(catalog.TRIP_CTES, """
+SELECT COUNT(*) AS rows_in_slice, COUNT(DISTINCT VendorID) AS vendors FROM curated"""))
+def q_stage_curated(spark, sf):
+    """Curated runs written per run_id, then one run's slice loaded
+    (partition pruning on run_id) next to a zero-row clone of the schema."""
+    base = work_dir(spark, "curated")
+    cur = catalog.curated_trips(spark, sf)
+    lake.write_run(cur.drop("run_id"), base, catalog.RUN_ID)
+    lake.write_run(cur.drop("run_id").limit(10), base, "run-other")
+    table = spark.read.parquet(base)
+    empty = lake.empty_like(table)
+    sliced = empty.unionByName(lake.stage_curated(table, catalog.RUN_ID))
+    return sliced.agg(F.count(F.lit(1)).alias("rows_in_slice"), F.count_distinct("VendorID").alias("vendors"))
