@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegov.functions.expr import norm_name, similarity
+from lakegov.session import checkpoint_root
 
 # --- fixed values: match vocabulary ----------------------------------------
 AUTO_MERGE, STEWARD_REVIEW = "AUTO_MERGE", "STEWARD_REVIEW"
@@ -161,13 +162,20 @@ def match_names(groups: DataFrame, auto_threshold: int, steward_threshold: int)
 
 def match_records(records: DataFrame, key: str, name: str, block: str | None,
                   auto_threshold: int, steward_threshold: int, batch_id: str | None = None,
-                  collapse_spaces: bool = True) -> DataFrame:
+                  collapse_spaces: bool = True, materialize: bool = True) -> DataFrame:
     """C1 + H1–H4 as one plan: the name-level match table.
 
     Columns: batch_id, block, name_1, name_2, score, confidence_tier, action,
     pair_count, recommended_golden_id."""
     members = normalize_members(records, key, name, block, collapse_spaces)
-    m = match_names(name_groups(members), auto_threshold, steward_threshold)
+    groups = name_groups(members)
+    if materialize:
+        # the groups feed six branches of the plan (index, probe, block
+        # lengths, both pair sides, same-name pairs): compute them once and cut
+        # the lineage in the shared checkpoint folder instead of re-scanning
+        checkpoint_root(records.sparkSession)
+        groups = groups.checkpoint(eager=True)
+    m = match_names(groups, auto_threshold, steward_threshold)
     return m.select(F.lit(batch_id).cast("string").alias("batch_id"), F.col("_block").alias("block"),
                     "name_1", "name_2", "score", "confidence_tier", "action", "pair_count",
                     F.col("recommended_golden_id").cast("int").alias("recommended_golden_id"))

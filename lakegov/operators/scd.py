@@ -45,18 +45,19 @@ def scd2_publish(golden: DataFrame, records: DataFrame, batch_id: str, key: str,
     * history rows, unchanged current rows and keys absent from the batch
       are kept as they are. Re-publishing the same batch is a no-op.
 
-    One full outer join of current rows and incoming rows on the key (both
-    unique per key), then each joined row emits its 0–2 output rows."""
+    One full outer join of the golden table and the incoming rows on the key
+    (matching only the current version; both sides unique per key there),
+    then each joined row emits its 0–2 output rows."""
     at = _ts(as_of)
     inc = (records.filter((F.col("batch_id") == batch_id) & (F.col("status") == APPROVED))
            .select(F.col(key).cast("int").alias(key), *[F.col(c).cast("string").alias(c) for c in attrs])
            .withColumn("_new_hash", record_hash(*attrs)))
-    hist = golden.filter(~F.col("is_current"))
-    cur = golden.filter(F.col("is_current"))
-    gcols = cur.columns
-    c = cur.select(*[F.col(x).alias(f"_g_{x}") for x in gcols], F.col(key).alias("_k"))
-    i = inc.select(*[F.col(x).alias(f"_i_{x}") for x in [key, *attrs]], "_new_hash", F.col(key).alias("_k"))
-    j = c.join(i, "_k", "full_outer")
+    # one pass over the golden table: every version flows through the join,
+    # but only the current version of a key can meet an incoming row
+    gcols = golden.columns
+    c = golden.select(*[F.col(x).alias(f"_g_{x}") for x in gcols], F.col(key).alias("_k"))
+    i = inc.select(*[F.col(x).alias(f"_i_{x}") for x in [key, *attrs]], "_new_hash", F.col(key).alias("_ik"))
+    j = c.join(i, (F.col("_k") == F.col("_ik")) & F.col("_g_is_current"), "full_outer")
 
     has_cur, has_inc = F.col(f"_g_{key}").isNotNull(), F.col(f"_i_{key}").isNotNull()
     changed = has_cur & has_inc & (F.col("_g_record_hash") != F.col("_new_hash"))
@@ -80,9 +81,8 @@ def scd2_publish(golden: DataFrame, records: DataFrame, batch_id: str, key: str,
     if next_sk_from is None:
         mx = golden.agg(F.max("golden_sk")).first()[0]
         next_sk_from = (mx or 0) + 1
-    out = out.withColumn("golden_sk", F.coalesce(
+    return out.withColumn("golden_sk", F.coalesce(
         F.col("golden_sk"), F.monotonically_increasing_id() + F.lit(next_sk_from)))
-    return hist.select(*out.columns).unionByName(out)
 
 
 # A14 -------------------------------------------------------------------------

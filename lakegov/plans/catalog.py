@@ -204,7 +204,7 @@ SELECT (total_rows > 0 AND pu_zone_nonnull_rate >= t AND do_zone_nonnull_rate >=
   CAST(total_rows AS BIGINT) AS total_rows, pu_zone_nonnull_rate, do_zone_nonnull_rate, t AS threshold,
   CASE WHEN NOT (total_rows > 0 AND pu_zone_nonnull_rate >= t AND do_zone_nonnull_rate >= t)
        THEN 'QUALITY_CHECK_FAILED' END AS reason
-FROM cov, (VALUES (0.98), (0.90)) AS th(t)"""
+FROM cov, (VALUES (CAST(0.98 AS DOUBLE)), (CAST(0.90 AS DOUBLE))) AS th(t)"""
 
 
 @register("quality_gate", _sql(GATE_SQL, TRIP_CTES + [("cov", COVERAGE_SQL)]))

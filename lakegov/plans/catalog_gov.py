@@ -98,7 +98,7 @@ def decisions_now(spark, sf) -> DataFrame:
 @register("freshness", f"""
 SELECT event_type, COALESCE((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(ts))) / 3.6e9 <= 24.0, FALSE) AS freshness_ok,
   max(ts) AS last_modified, ROUND((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(ts))) / 3.6e9, 2) AS age_hours,
-  24.0 AS max_age_hours, CAST(NULL AS VARCHAR) AS reason
+  CAST(24.0 AS DOUBLE) AS max_age_hours, CAST(NULL AS VARCHAR) AS reason
 FROM events GROUP BY event_type""")
 def q_freshness(spark, sf):
     """K1 per prefix: newest object time (event time per event type here),
@@ -165,12 +165,13 @@ def q_latest_results(spark, sf):
 # ==========================================================================
 @register("metrics_roundtrip", with_ctes(catalog.TRIP_CTES + [("cov", catalog.COVERAGE_SQL)], """
 SELECT (total_rows > 0 AND pu_zone_nonnull_rate >= 0.98 AND do_zone_nonnull_rate >= 0.98) AS quality_passed,
-  CAST(total_rows AS BIGINT) AS total_rows, pu_zone_nonnull_rate, do_zone_nonnull_rate, 0.98 AS threshold,
+  CAST(total_rows AS BIGINT) AS total_rows, pu_zone_nonnull_rate, do_zone_nonnull_rate,
+  CAST(0.98 AS DOUBLE) AS threshold,
   CASE WHEN NOT (total_rows > 0 AND pu_zone_nonnull_rate >= 0.98 AND do_zone_nonnull_rate >= 0.98)
        THEN 'QUALITY_CHECK_FAILED' END AS reason
 FROM cov
 UNION ALL
-SELECT FALSE, 0, 0.0, 0.0, 0.98, 'METRICS_READ_ERROR'"""))
+SELECT FALSE, 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0.98 AS DOUBLE), 'METRICS_READ_ERROR'"""))
 def q_metrics_roundtrip(spark, sf):
     """A7 writes the metrics JSON, A8 reads it back and K2 gates it; a
     missing document yields a failed gate with METRICS_READ_ERROR."""
