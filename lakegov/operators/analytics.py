@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakegov.operators.enrich import maybe_broadcast
+
 MONEY_DIGITS = 2
 AVG_DIGITS = 4
 
@@ -38,7 +40,7 @@ def q_top_zones(fact: DataFrame, zone_dim: DataFrame, k: int = 10) -> DataFrame:
     """Top-k pickup zones by trips (grouped by zone and borough names).
     Ties are broken by zone, then borough, so the answer is deterministic."""
     per_sk = _by_key(fact, "pickup_zone_sk", trips=F.count(F.lit(1)))
-    z = zone_dim.select(F.col("zone_sk").alias("pickup_zone_sk"), "zone", "borough")
+    z = maybe_broadcast(zone_dim).select(F.col("zone_sk").alias("pickup_zone_sk"), "zone", "borough")
     return (per_sk.join(z, "pickup_zone_sk", "inner")
             .groupBy("zone", "borough").agg(F.sum("trips").cast("bigint").alias("trips"))
             .orderBy(F.desc("trips"), F.asc_nulls_last("zone"), F.asc_nulls_last("borough"))
@@ -48,7 +50,7 @@ def q_top_zones(fact: DataFrame, zone_dim: DataFrame, k: int = 10) -> DataFrame:
 # D5 --------------------------------------------------------------------------
 def q_vendor_revenue(fact: DataFrame, vendor_dim: DataFrame) -> DataFrame:
     per_sk = _by_key(fact, "vendor_sk", trips=F.count(F.lit(1)), revenue=F.sum("total_amount"))
-    v = vendor_dim.select("vendor_sk", "vendor_name")
+    v = maybe_broadcast(vendor_dim).select("vendor_sk", "vendor_name")
     return (per_sk.join(v, "vendor_sk", "inner")
             .groupBy("vendor_name")
             .agg(F.sum("trips").cast("bigint").alias("trips"), _money(F.sum("revenue")).alias("revenue"))
@@ -59,7 +61,7 @@ def q_vendor_revenue(fact: DataFrame, vendor_dim: DataFrame) -> DataFrame:
 def q_avg_by_rate(fact: DataFrame, ratecode_dim: DataFrame) -> DataFrame:
     """Average total by rate-code name (NULL totals ignored, as AVG does)."""
     per_sk = _by_key(fact, "ratecode_sk", s=F.sum("total_amount"), n=F.count("total_amount"))
-    r = ratecode_dim.select("ratecode_sk", "rate_code_name")
+    r = maybe_broadcast(ratecode_dim).select("ratecode_sk", "rate_code_name")
     return (per_sk.join(r, "ratecode_sk", "inner")
             .groupBy("rate_code_name")
             .agg(F.round(F.sum("s") / F.sum("n"), AVG_DIGITS).alias("avg_fare"))
@@ -69,7 +71,7 @@ def q_avg_by_rate(fact: DataFrame, ratecode_dim: DataFrame) -> DataFrame:
 # D7 --------------------------------------------------------------------------
 def q_payment_mix(fact: DataFrame, payment_dim: DataFrame) -> DataFrame:
     per_sk = _by_key(fact, "payment_type_sk", trips=F.count(F.lit(1)))
-    p = payment_dim.select("payment_type_sk", "payment_type_name")
+    p = maybe_broadcast(payment_dim).select("payment_type_sk", "payment_type_name")
     return (per_sk.join(p, "payment_type_sk", "inner")
             .groupBy("payment_type_name").agg(F.sum("trips").cast("bigint").alias("trips"))
             .orderBy(F.desc("trips"), "payment_type_name"))
