@@ -298,3 +298,28 @@ def q_stage_curated(spark, sf):
     empty = lake.empty_like(table)
     sliced = empty.unionByName(lake.stage_curated(table, catalog.RUN_ID))
     return sliced.agg(F.count(F.lit(1)).alias("rows_in_slice"), F.count_distinct("VendorID").alias("vendors"))
+
+
+@register("master_csv_ingest", """
+SELECT CAST(p_partkey AS INTEGER) AS location_id, p_brand AS borough, p_name AS zone,
+  CASE WHEN p_partkey % 11 = 0 THEN 'N/A' ELSE p_type END AS service_zone
+FROM part WHERE p_partkey % 13 <> 0""")
+def q_master_csv_ingest(spark, sf):
+    """A2 + B1 + B2 + B6 + D1: a master file lands as CSV with padded,
+    mixed-case headers; it is read with inference off (all strings, 'N/A'
+    kept), headers normalised and checked, the key cast, rows with a missing
+    key / borough / zone dropped, and the unique-key gate applied."""
+    from lakegov.operators import quality
+    base = work_dir(spark, "landing")
+    p = B.table(spark, sf, "part")
+    k = F.col("p_partkey")
+    csv = p.select(F.when(k % 13 == 0, F.lit(None)).otherwise(k.cast("string")).alias(" LocationID "),
+                   F.col("p_brand").alias("Borough"), F.col("p_name").alias("Zone"),
+                   F.when(k % 11 == 0, F.lit("N/A")).otherwise(F.col("p_type")).alias("Service_Zone"))
+    csv.write.mode("overwrite").option("header", True).csv(f"{base}/zones.csv")
+    raw = quality.normalize_headers(lake.read_master_csv(spark, f"{base}/zones.csv"))
+    quality.require_columns(raw, ["locationid", "borough", "zone", "service_zone"], "CSV")
+    df = quality.drop_null_keys(raw.select(F.col("locationid").try_cast("int").alias("location_id"),
+                                           "borough", "zone", "service_zone"), ["location_id", "borough", "zone"])
+    quality.assert_unique(df, ["location_id"], "LocationID")
+    return df
