@@ -56,7 +56,11 @@ _MEMO: dict = {}
 def _memo(kind: str, spark: SparkSession, sf: str, build):
     """Plans (not data) of the small dimension inputs, built once per session
     and folder so their size checks run once; execution stays lazy."""
-    k = (kind, id(spark), sf)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a local context
+        app = None
+    k = (kind, id(spark), app, sf)
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]
