@@ -55,7 +55,19 @@ def normalize_members(records: DataFrame, key: str, name: str, block: str | None
 
 def name_groups(members: DataFrame) -> DataFrame:
     """(block, name) -> member count and best member (longest raw name,
-    smallest id on ties); one partial aggregate."""
+    smallest id on ties); one partial aggregate.
+
+    For int ids the (length, id) order is packed into one bigint
+    (length << 32 | (2^31 - 1 - id)), so the aggregate stays a hash aggregate
+    (no per-task sort of all members); other key types use a struct max."""
+    if dict(members.dtypes)["_id"] in ("int", "smallint", "tinyint"):
+        packed = (F.col("_raw_len").cast("bigint") * F.lit(1 << 32)
+                  + (F.lit((1 << 31) - 1) - F.col("_id").cast("bigint")))
+        g = members.groupBy("_block", "_name").agg(F.count(F.lit(1)).alias("_n"), F.max(packed).alias("_p"))
+        return g.select("_block", "_name", "_n",
+                        F.shiftright(F.col("_p"), 32).cast("int").alias("_best_len"),
+                        (F.lit((1 << 31) - 1) - F.col("_p").bitwiseAND(F.lit(0xFFFFFFFF))).cast("int")
+                        .alias("_best_id"))
     best = F.max(F.struct(F.col("_raw_len").alias("len"), (-F.col("_id").cast("bigint")).alias("neg_id")))
     return (members.groupBy("_block", "_name")
             .agg(F.count(F.lit(1)).alias("_n"), best.alias("_best"))
