@@ -17,7 +17,7 @@ DEFAULT_QUALITY_THRESHOLD = 0.98
 EV_START, EV_END = "START", "END"
 ST_STARTED, ST_SUCCESS, ST_FAILED = "STARTED", "SUCCESS", "FAILED"
 REASON_APPROVAL_REJECTED = "APPROVAL_REJECTED"
-REASON_GLUE_JOB_FAILED = "GLUE_JOB_FAILED"
+REASON_JOB_FAILED = "GLUE_JOB_FAILED"
 REASON_QUALITY_CHECK_FAILED = "QUALITY_CHECK_FAILED"
 DECISION_APPROVED, DECISION_REJECTED = "approved", "rejected"
 
@@ -119,7 +119,7 @@ def governance_kpis(audit_now: DataFrame, decisions_now: DataFrame) -> DataFrame
         F.count_if(F.col("status") == ST_FAILED).alias("runs_failed"),
         F.count_if(F.col("reason") == REASON_APPROVAL_REJECTED).alias("failed_approval"),
         F.count_if(F.col("reason") == REASON_QUALITY_CHECK_FAILED).alias("failed_quality"),
-        F.count_if(F.col("reason") == REASON_GLUE_JOB_FAILED).alias("failed_job"),
+        F.count_if(F.col("reason") == REASON_JOB_FAILED).alias("failed_job"),
         F.count_if(F.col("decision") == DECISION_APPROVED).alias("runs_approved"),
         F.count_if(F.col("decision") == DECISION_REJECTED).alias("runs_rejected"),
     )

@@ -63,7 +63,7 @@ def audit_puts(spark, sf) -> DataFrame:
         F.when(et == "signup", F.lit(governance.ST_STARTED)).when(et == "error", F.lit(governance.ST_FAILED))
          .otherwise(F.lit(governance.ST_SUCCESS)).alias("status"),
         F.when(et == "error", F.when(v < 10, F.lit(governance.REASON_QUALITY_CHECK_FAILED))
-               .when(v < 20, F.lit(governance.REASON_GLUE_JOB_FAILED))
+               .when(v < 20, F.lit(governance.REASON_JOB_FAILED))
                .otherwise(F.lit(governance.REASON_APPROVAL_REJECTED))).alias("reason"),
         F.col("ts").alias("put_at"), F.col("event_id"))
 

@@ -160,9 +160,9 @@ def run_trips_pipeline(spark: SparkSession, layout: Layout, run_id: str, quality
         result["validate"] = validate_raw(spark, layout, run_id, _now().isoformat() + "+00:00")
         result["metrics"] = enrich_run(spark, layout, run_id, current_only)
     except Exception as e:  # noqa: BLE001 - recorded, then reported
-        audit(spark, layout, run_id, governance.EV_END, governance.ST_FAILED, governance.REASON_GLUE_JOB_FAILED,
+        audit(spark, layout, run_id, governance.EV_END, governance.ST_FAILED, governance.REASON_JOB_FAILED,
               str(e)[:1000])
-        return result | {"status": governance.ST_FAILED, "reason": governance.REASON_GLUE_JOB_FAILED}
+        return result | {"status": governance.ST_FAILED, "reason": governance.REASON_JOB_FAILED}
     gate = governance.quality_gate(lake.read_metrics(spark, layout.metrics), quality_threshold).first()
     result["gate"] = gate.asDict()
     if not gate.quality_passed:
