@@ -302,3 +302,32 @@ def build_warehouse(spark: SparkSession, layout: Layout, run_id: str | None = No
     metrics = spark.read.parquet(f"{wh}/dq/metrics")
     dq.assert_rows(metrics).write.mode("append").parquet(f"{wh}/dq/test_results")
     return {"fact_rows": fact.count(), "metrics": dq.public_metrics(metrics).first().asDict()}
+
+
+# ----------------------------------------------------------------------------
+# catalog registration of the warehouse (A9 + A13)
+# ----------------------------------------------------------------------------
+WAREHOUSE_TABLES = {
+    "fact": {"trip_fact": "fact/trip_fact"},
+    "dim": {"zone_dim": "dim/zone_dim", "vendor_dim": "dim/vendor_dim", "ratecode_dim": "dim/ratecode_dim",
+            "payment_type_dim": "dim/payment_dim"},
+    "dq": {"test_results": "dq/test_results", "metrics": "dq/metrics"},
+}
+
+
+def register_warehouse(spark: SparkSession, layout: Layout, prefix: str = "final_") -> list[str]:
+    """Create the layer databases (idempotent) and external tables over the
+    warehouse folders, so warehouse SQL addresses them as <prefix><layer>.<table>
+    (e.g. final_fact.trip_fact). No data is copied."""
+    lake.ensure_layers(spark, ("staging", "mdm", "dim", "fact", "dq"), prefix=prefix)
+    names = []
+    for layer, tables in WAREHOUSE_TABLES.items():
+        for name, rel in tables.items():
+            path = f"{layout.warehouse}/{rel}"
+            if not _exists(spark, path):
+                continue
+            full = f"{prefix}{layer}.{name}"
+            spark.sql(f"DROP TABLE IF EXISTS {full}")
+            spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
+            names.append(full)
+    return names

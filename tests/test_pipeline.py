@@ -55,5 +55,14 @@ def test_full_run(spark):
     latest = {(x.run_id, x.event_type): x.status
               for x in governance.audit_latest(spark.read.parquet(lay.audit)).collect()}
     assert latest[("run-c", "END")] == "SUCCESS" and latest[("run-b", "END")] == "FAILED"
+    tables = P.register_warehouse(spark, lay, prefix="lgt_")
+    assert "lgt_fact.trip_fact" in tables and "lgt_dim.zone_dim" in tables
+    daily = spark.sql("SELECT DATE(pickup_datetime) AS d, COUNT(*) AS n FROM lgt_fact.trip_fact GROUP BY 1")
+    assert daily.agg(F.sum("n")).first()[0] == good
+    top = spark.sql("SELECT z.zone, COUNT(*) AS trips FROM lgt_fact.trip_fact f JOIN lgt_dim.zone_dim z "
+                    "ON f.pickup_zone_sk = z.zone_sk GROUP BY 1 ORDER BY trips DESC, zone LIMIT 10")
+    assert top.count() == 10
+    res = spark.sql("SELECT COUNT(*) FROM lgt_dq.test_results").first()[0]
+    assert res == 11
     q = spark.read.parquet(lay.p("validated", "quarantine")).filter(F.col("run_id") == "run-c")
     assert q.filter(F.col("bad_reason") == "").count() == 0 and q.count() == bad
