@@ -22,17 +22,14 @@ def surrogate_key(df: DataFrame, name: str, order_by: Sequence[str] | None = Non
                   start: int = 1, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Unique surrogate key.
 
-    * ``order_by`` given (dimensions): dense 1..n in business-key order — only
-      after the frame is proven to hold at most ``max_rows`` rows, so numbering
-      in key order stays a small, bounded task.
-    * otherwise (facts): ``monotonically_increasing_id`` offset by ``start`` —
-      unique, computed per partition with no shuffle; the caller writes the
-      result before reusing the keys.
+    * ``order_by`` given and the frame proven to hold at most ``max_rows`` rows
+      (dimensions): dense 1..n in business-key order — a small, bounded task.
+    * otherwise (facts, or a dimension beyond the bound):
+      ``monotonically_increasing_id`` offset by ``start`` — unique, computed
+      per partition with no shuffle; the caller writes the result before
+      reusing the keys.
     """
-    if order_by:
-        if not is_bounded(df, max_rows):
-            raise ValueError(f"dimension too large for ordered keys (> {max_rows} rows); "
-                             "use surrogate_key without order_by")
+    if order_by and is_bounded(df, max_rows):
         w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
         out = df.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
         return mark_bounded(out, getattr(df, "_lakegov_max_rows", max_rows))

@@ -158,3 +158,13 @@ def test_freshness(spark):
     assert out == {"a": (False, 30.0), "b": (True, 2.0)}
     none = governance.freshness(files.limit(0), t, 24).first()
     assert none.freshness_ok is False and none.reason.startswith("No objects")
+
+
+def test_surrogate_key_beyond_bound_is_distributed(spark):
+    df = spark.range(50).withColumnRenamed("id", "k")
+    small = star.surrogate_key(df, "sk", ["k"], max_rows=100)
+    assert sorted(r.sk for r in small.collect()) == list(range(1, 51))
+    big = star.surrogate_key(df.repartition(4), "sk", ["k"], max_rows=10)   # over the bound
+    sks = [r.sk for r in big.collect()]
+    assert len(set(sks)) == 50
+    assert "Window" not in big._jdf.queryExecution().executedPlan().toString()
