@@ -227,11 +227,6 @@ def q_fact_star(spark, sf):
     return fact(spark, sf)
 
 
-@register("zone_dim", _sql("SELECT location_id, borough, zone, service_zone, zone_sk FROM zone_dim"))
-def q_zone_dim(spark, sf):
-    return dims(spark, sf)["zone_dim"]
-
-
 @register("daily_revenue", _sql("""
 SELECT CAST(pickup_datetime AS DATE) AS trip_date, COUNT(*) AS trips, ROUND(SUM(total_amount), 2) AS total_revenue
 FROM fact GROUP BY 1 ORDER BY 1"""))

@@ -239,6 +239,20 @@ def q_ingest_stream(spark, sf):
 # ==========================================================================
 # J2 over survivorship; A9 external view; A10 staging load; A11 run slice
 # ==========================================================================
+SNAP_UPSERT_SQL = catalog.ORACLES["snapshot_upsert"]
+
+
+@register("zone_dim", with_ctes([("zm", SNAP_UPSERT_SQL)], """
+SELECT CAST(location_id AS INTEGER) AS location_id, borough, zone, service_zone, golden_sk AS mdm_golden_sk,
+  snapshot_id, snapshot_ts, row_number() OVER (ORDER BY location_id) AS zone_sk
+FROM zm WHERE is_current"""))
+def q_zone_dim(spark, sf):
+    """The zone dim rebuilt from the zone master after a golden snapshot
+    was upserted into it (C7/C8 output), current rows only."""
+    from lakegov.operators import star
+    return star.build_zone_dim(catalog_mdm.q_snapshot_upsert(spark, sf))
+
+
 @register("vendor_dim", with_ctes(
     [("cand", f"""
 SELECT CAST(s_suppkey % 8 AS INTEGER) AS vendor_id, s_name AS vendor_name, 2 AS source_rank,
@@ -292,8 +306,11 @@ def q_stage_curated(spark, sf):
     (partition pruning on run_id) next to a zero-row clone of the schema."""
     base = work_dir(spark, "curated")
     cur = catalog.curated_trips(spark, sf)
+    # the same curated rows land under two run ids (a re-run on another
+    # day); reading one slice must prune the other partition, so a count
+    # that doubled would expose a missing partition filter
     lake.write_run(cur.drop("run_id"), base, catalog.RUN_ID)
-    lake.write_run(cur.drop("run_id").limit(10), base, "run-other")
+    lake.write_run(spark.read.parquet(f"{base}/run_id={catalog.RUN_ID}"), base, "run-other")
     table = spark.read.parquet(base)
     empty = lake.empty_like(table)
     sliced = empty.unionByName(lake.stage_curated(table, catalog.RUN_ID))
