@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lakegov.operators import analytics, dq, enrich, governance, quality, star
 from lakegov.plans import binding as B
+from lakegov.session import work_dir
 from lakegov.sources import seeds
 
 RUN_ID = "run-0001"
@@ -66,12 +67,32 @@ def _memo(kind: str, spark: SparkSession, sf: str, build):
     return _MEMO[k]
 
 
+def persisted(kind: str, spark: SparkSession, sf: str, build) -> DataFrame:
+    """A pipeline layer (curated trips, the warehouse fact, a batch's match
+    table, the published golden table) written once per session and folder
+    into the shared checkpoint folder and read back. Later queries read the
+    stored table, as the reference's warehouse SQL, stewardship steps and
+    golden views read its tables, and the lineage behind it is cut, so a lost
+    executor never re-runs the upstream joins."""
+    def write_and_read() -> DataFrame:
+        path = f"{work_dir(spark, kind)}/table"
+        df = build()
+        LAYER_BUILDS[kind] = df  # for the plan report
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return _memo(kind, spark, sf, write_and_read)
+
+
+LAYER_BUILDS: dict[str, DataFrame] = {}
+
+
 def zones(spark: SparkSession, sf: str) -> DataFrame:
     return _memo("zones", spark, sf, lambda: quality.canonical_zone(B.zone_master(spark, sf)))
 
 
 def curated_trips(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.enrich(good_trips(spark, sf), zones(spark, sf))
+    """The curated layer (validated trips with zones), stored once."""
+    return persisted("curated", spark, sf, lambda: enrich.enrich(good_trips(spark, sf), zones(spark, sf)))
 
 
 def dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -84,9 +105,11 @@ def dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def fact(spark: SparkSession, sf: str, keep_business_keys: bool = False, with_fact_sk: bool = False) -> DataFrame:
+    """The warehouse fact table, stored once; analytics and DQ read it."""
     d = dims(spark, sf)
-    return star.build_fact(curated_trips(spark, sf), d["vendor_dim"], d["ratecode_dim"], d["payment_dim"],
-                           d["zone_dim"], keep_business_keys=keep_business_keys, with_fact_sk=with_fact_sk)
+    return persisted(f"fact-{int(keep_business_keys)}{int(with_fact_sk)}", spark, sf, lambda: star.build_fact(
+        curated_trips(spark, sf), d["vendor_dim"], d["ratecode_dim"], d["payment_dim"], d["zone_dim"],
+        keep_business_keys=keep_business_keys, with_fact_sk=with_fact_sk))
 
 
 # SQL forms of the same shared plans ---------------------------------------

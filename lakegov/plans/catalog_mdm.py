@@ -14,7 +14,6 @@ from lakegov.operators import matching, quality, scd, survivorship
 from lakegov.plans import binding as B
 from lakegov.plans import catalog
 from lakegov.plans.catalog import register, with_ctes
-from lakegov.session import work_dir
 from lakegov.sources import seeds
 
 KEY, BLOCK, NAME = "location_id", "borough", "zone"
@@ -30,21 +29,8 @@ def records(spark: SparkSession, sf: str, batch: str) -> DataFrame:
     return B.part_records(spark, sf, batch)
 
 
-def persisted(kind: str, spark: SparkSession, sf: str, build) -> DataFrame:
-    """A pipeline table (match table of a batch, published golden table)
-    written once per session and folder into the shared checkpoint folder and
-    read back. Later queries read the stored table, as the reference's
-    stewardship steps and golden views read its tables, and the lineage
-    behind it is cut, so a lost executor never re-runs the matching."""
-    def write_and_read() -> DataFrame:
-        path = f"{work_dir(spark, kind)}/table"
-        build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    return catalog._memo(kind, spark, sf, write_and_read)
-
-
 def matches(spark: SparkSession, sf: str, batch: str) -> DataFrame:
-    return persisted(f"matches-{batch}", spark, sf, lambda: matching.match_records(
+    return catalog.persisted(f"matches-{batch}", spark, sf, lambda: matching.match_records(
         records(spark, sf, batch), KEY, NAME, BLOCK, B.PART_AUTO, B.PART_STEWARD, batch_id=batch))
 
 
@@ -60,7 +46,7 @@ def golden_v2(spark: SparkSession, sf: str) -> DataFrame:
         # keys of batch 1 are below 2^31; new versions are numbered above them
         return scd.scd2_publish(g1, staged(spark, sf, B.BATCH_2), B.BATCH_2, KEY, ATTRS, T2,
                                 next_sk_from=1 << 40)
-    return persisted("golden", spark, sf, publish_both)
+    return catalog.persisted("golden", spark, sf, publish_both)
 
 
 # ==========================================================================
