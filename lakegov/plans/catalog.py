@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lakegov.operators import analytics, dq, enrich, governance, quality, star
 from lakegov.plans import binding as B
 from lakegov.session import work_dir
-from lakegov.sources import seeds
+from lakegov.sources import lake, seeds
 
 RUN_ID = "run-0001"
 INGESTED_AT = "2024-01-31T00:00:00+00:00"
@@ -46,9 +46,21 @@ def reasoned_trips(spark: SparkSession, sf: str) -> DataFrame:
     return quality.validate_trips(B.raw_trips(spark, sf))
 
 
+def validated(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The validation job's output, stored once: stamped rows split into the
+    validated and quarantine folders in one pass (B11 + A5), then read back
+    as (good rows, quarantined rows with bad_reason)."""
+    def build():
+        base = work_dir(spark, "validated")
+        stamped = quality.stamp(reasoned_trips(spark, sf), run_id=RUN_ID, ingested_at_utc=INGESTED_AT)
+        LAYER_BUILDS["validated"] = stamped
+        good, bad = lake.write_split(stamped, f"{base}/validated", f"{base}/quarantine", RUN_ID)
+        return spark.read.parquet(good).drop("bad_reason"), spark.read.parquet(bad)
+    return _memo("validated", spark, sf, build)
+
+
 def good_trips(spark: SparkSession, sf: str) -> DataFrame:
-    good, _ = quality.split_quality(reasoned_trips(spark, sf))
-    return quality.stamp(good, run_id=RUN_ID, ingested_at_utc=INGESTED_AT)
+    return validated(spark, sf)[0]
 
 
 _MEMO: dict = {}
@@ -173,8 +185,7 @@ def q_validate_good(spark, sf):
     TRIP_CTES[:2]))
 def q_validate_quarantine(spark, sf):
     """B10a–g, B11 (quarantine side keeps bad_reason)."""
-    _, bad = quality.split_quality(reasoned_trips(spark, sf))
-    return quality.stamp(bad, run_id=RUN_ID, ingested_at_utc=INGESTED_AT)
+    return validated(spark, sf)[1]
 
 
 @register("quarantine_reason_counts", _sql(
@@ -182,8 +193,7 @@ def q_validate_quarantine(spark, sf):
     TRIP_CTES[:2]))
 def q_quarantine_reason_counts(spark, sf):
     """B10 + D2: quarantine volume per reason combination."""
-    _, bad = quality.split_quality(reasoned_trips(spark, sf))
-    return bad.groupBy("bad_reason").agg(F.count(F.lit(1)).alias("n"))
+    return validated(spark, sf)[1].groupBy("bad_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("validation_counts", _sql(
@@ -191,8 +201,9 @@ def q_quarantine_reason_counts(spark, sf):
     "COUNT(*) FILTER (WHERE bad_reason <> '') AS bad_rows, COUNT(*) AS total_rows FROM reasoned",
     TRIP_CTES[:2]))
 def q_validation_counts(spark, sf):
-    """Good / bad / total from one aggregate."""
-    return quality.counts(reasoned_trips(spark, sf))
+    """Good / bad / total from one aggregate over both stored folders."""
+    good, bad = validated(spark, sf)
+    return quality.counts(good.select(F.lit("").alias("bad_reason")).unionByName(bad.select("bad_reason")))
 
 
 # ==========================================================================
