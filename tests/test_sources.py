@@ -44,3 +44,17 @@ def test_replace_batch_keeps_other_batches(spark):
     lake.replace_batch(spark.createDataFrame([("b1", 9)], "batch_id string, k int"), base)
     got = sorted((r.batch_id, r.k) for r in spark.read.parquet(base).collect())
     assert got == [("b1", 9), ("b2", 3)]
+
+
+def test_stage_curated_reads_one_run_slice(spark):
+    base = work_dir(spark, "runs")
+    a = spark.range(50).selectExpr("id", "CAST(id % 3 AS INT) AS VendorID")
+    lake.write_run(a, base, "run-a")
+    lake.write_run(a.union(a), base, "run-b")
+    table = spark.read.parquet(base)
+    sliced = lake.stage_curated(table, "run-a")
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "run_id" in plan.split("PartitionFilters", 1)[1][:200]
+    assert sliced.count() == 50 and lake.stage_curated(table).count() == 150
+    empty = lake.empty_like(table)
+    assert empty.count() == 0 and empty.schema == table.schema
