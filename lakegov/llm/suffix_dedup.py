@@ -320,6 +320,7 @@ def repeated_runs(docs: DataFrame, span: int = SPAN, hot: int = HOT, text: str =
     segs = staged(segment_rows(docs, span, text), "segments")
     repeated = (segs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))
                 .filter("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("mixed")))
+    repeated = staged(repeated, "repeated-anchors")   # a join of two plain exchanges, which AQE can split
     marked = staged(segs.join(repeated, "anchor"), "repeated-segments")
     drop_staged(segs)
     # one copy of each different segment of the anchors that have several
