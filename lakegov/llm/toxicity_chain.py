@@ -20,8 +20,8 @@ nouns, contemptuous adjectives) and stand before it in the chain.
 
 Defined cases: null and word-less texts have no features (the intercepts
 decide); null ids are never labelled but scored; repeated rows score alike; a
-category with only one class in the sample gets that class's smoothed rate; an
-empty table gives no rows; other columns are not read.
+category with only one class in the sample gets that class's smoothed rate, and
+without any labels all probabilities are 0; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -180,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column] | None
     x[doc[known], slot[bucket[known]]] = 1
     # the chain: every model is fitted on out-of-fold probabilities of those before it
     fold = np.arange(n) % FOLDS
-    weights, earlier, intercept = np.zeros((len(names), x.shape[1])), np.zeros((len(names),) * 2), np.zeros(len(names))
+    weights, earlier, intercept = np.zeros((len(names), x.shape[1])), np.zeros((len(names),) * 2), np.full(len(names), -30.0)
     held = np.zeros((n, len(names)))
     for c in range(len(names) if n else 0):
         full = np.hstack([x, held[:, :c]])
