@@ -166,7 +166,8 @@ def match_names(groups: DataFrame, auto_threshold: int, steward_threshold: int)
                       .otherwise(F.least("b1", "b2")).alias("recommended_golden_id")))
     same = (g.filter(F.col("_n") >= 2)
             .select("_block", F.col("_name").alias("name_1"), F.col("_name").alias("name_2"),
-                    (F.col("_n") * (F.col("_n") - 1) / 2).cast("bigint").alias("pair_count"),
+                    F.expr("CASE WHEN _n % 2 = 0 THEN (_n div 2) * (_n - 1) ELSE _n * ((_n - 1) div 2) END")
+                    .alias("pair_count"),
                     F.when(F.length("_name") == 0, F.lit(0)).otherwise(F.lit(100)).alias("score"),
                     F.col("_best_id").alias("recommended_golden_id")))
     return _classify(cross.unionByName(same), auto_threshold, steward_threshold)
@@ -179,7 +180,9 @@ def match_records(records: DataFrame, key: str, name: str, block: str | None,
 
     Columns: batch_id, block, name_1, name_2, score, confidence_tier, action,
     pair_count, recommended_golden_id."""
-    members = normalize_members(records, key, name, block, collapse_spaces)
+    # as in an equi-join, records without a block or a name have no partner
+    members = (normalize_members(records, key, name, block, collapse_spaces)
+               .filter(F.col("_block").isNotNull() & F.col("_name").isNotNull()))
     groups = name_groups(members)
     if materialize:
         # the groups feed six branches of the plan (index, probe, block
@@ -190,7 +193,7 @@ def match_records(records: DataFrame, key: str, name: str, block: str | None,
     m = match_names(groups, auto_threshold, steward_threshold)
     return m.select(F.lit(batch_id).cast("string").alias("batch_id"), F.col("_block").alias("block"),
                     "name_1", "name_2", "score", "confidence_tier", "action", "pair_count",
-                    F.col("recommended_golden_id").cast("int").alias("recommended_golden_id"))
+                    F.col("recommended_golden_id").cast(dict(records.dtypes)[key]).alias("recommended_golden_id"))
 
 
 # expansion to record-level pairs (bounded inputs) ------------------------------

@@ -1,39 +1,53 @@
 """Dimensional build.
 
 Dimensions are bounded by their business domain (zones, vendors, codes),
-never by trips. Each dim is proven small (row-count bound) before it is
-numbered in key order and broadcast; the fact then joins all five dims
-map-side with no shuffle of trip rows.
+never by trips. Each dim is numbered densely in key order by one distributed
+method at every size, which also measures its rows; the fact broadcasts the
+dims whose measured size allows it, with no shuffle of trip rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegov.operators.enrich import BROADCAST_MAX_ROWS, is_bounded, mark_bounded, maybe_broadcast
+from lakegov.operators.enrich import mark_bounded, maybe_broadcast
+from lakegov.session import checkpoint_root
 from lakegov.sources.seeds import UNKNOWN_PAYMENT_TYPE, UNKNOWN_RATE_CODE
 
 
 # B9 --------------------------------------------------------------------------
-def surrogate_key(df: DataFrame, name: str, order_by: Sequence[str] | None = None,
-                  start: int = 1, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def surrogate_key(df: DataFrame, name: str, order_by: Sequence[str] | None = None, start: int = 1) -> DataFrame:
     """Unique surrogate key.
 
-    * ``order_by`` given and the frame proven to hold at most ``max_rows`` rows
-      (dimensions): dense 1..n in business-key order — a small, bounded task.
-    * otherwise (facts, or a dimension beyond the bound):
-      ``monotonically_increasing_id`` offset by ``start`` — unique, computed
-      per partition with no shuffle; the caller writes the result before
-      reusing the keys.
+    * ``order_by`` given (dimensions): dense start..start+n-1 in business-key
+      order (nulls last) at every size. Rows are range-partitioned and sorted,
+      stored once by a reliable checkpoint (so that partitions stay as they
+      are), numbered inside each partition, and shifted by the rows of the
+      partitions before; only one count per partition reaches the driver.
+    * otherwise (facts): ``monotonically_increasing_id`` offset by ``start`` —
+      unique, no shuffle; the caller writes the result before reusing the keys.
     """
-    if order_by and is_bounded(df, max_rows):
-        w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
-        out = df.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
-        return mark_bounded(out, getattr(df, "_lakegov_max_rows", max_rows))
-    return df.withColumn(name, F.monotonically_increasing_id() + F.lit(start))
+    if not order_by:
+        return df.withColumn(name, F.monotonically_increasing_id() + F.lit(start))
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    keys = [F.col(c).asc_nulls_last() for c in order_by]
+    place = F.monotonically_increasing_id()  # partition number above bit 33, row number in it below
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    ranged = ranged.select("*", F.shiftright(place, 33).cast("int").alias("_part"),
+                           place.bitwiseAND((1 << 33) - 1).alias("_row"))
+    counts = sorted((r["_part"], r["count"]) for r in ranged.groupBy("_part").count().collect())
+    offsets, total = [], start
+    for part, n in counts:
+        offsets.append((part, total))
+        total += n
+    before = spark.createDataFrame(offsets, "_part int, _before long")
+    out = (ranged.join(F.broadcast(before), "_part")  # one row per partition
+           .withColumn(name, F.col("_before") + F.col("_row")).drop("_part", "_row", "_before"))
+    return mark_bounded(out.select(*df.columns, name), total - start)
 
 
 # J1–J4 -----------------------------------------------------------------------

@@ -67,13 +67,13 @@ _MEMO: dict = {}
 
 
 def _memo(kind: str, spark: SparkSession, sf: str, build):
-    """Plans (not data) of the small dimension inputs, built once per session
-    and folder so their size checks run once; execution stays lazy."""
+    """Layers built once per session and state of the input folder (paths,
+    sizes and times of its files): changed input builds them anew."""
     try:
         app = spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001 - sessions without a local context
         app = None
-    k = (kind, id(spark), app, sf)
+    k = (kind, id(spark), app, sf, lake.file_state(spark, sf))
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]

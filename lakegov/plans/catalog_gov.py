@@ -231,7 +231,10 @@ def q_ingest_stream(spark, sf):
         return matching.match_records(recs, "location_id", "zone", "borough", B.PART_AUTO, B.PART_STEWARD,
                                       batch_id=B.BATCH_1)
 
-    q = ingest_stream(spark, sf, schema, f"{base}/sink", f"{base}/_checkpoint", transform, glob="part.parquet")
+    # the table is one file or a folder of part files
+    folder = lake.is_folder(spark, f"{sf}/part.parquet")
+    source, glob = (f"{sf}/part.parquet", None) if folder else (sf, "part.parquet")
+    q = ingest_stream(spark, source, schema, f"{base}/sink", f"{base}/_checkpoint", transform, glob=glob)
     run_to_completion(q)
     return spark.read.parquet(f"{base}/sink")
 

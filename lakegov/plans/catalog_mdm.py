@@ -40,12 +40,14 @@ def staged(spark: SparkSession, sf: str, batch: str) -> DataFrame:
 
 
 def golden_v2(spark: SparkSession, sf: str) -> DataFrame:
-    def publish_both() -> DataFrame:
+    def publish_first() -> DataFrame:
         g0 = scd.empty_golden(spark, KEY, ATTRS)
-        g1 = scd.scd2_publish(g0, staged(spark, sf, B.BATCH_1), B.BATCH_1, KEY, ATTRS, T1, next_sk_from=1)
-        # keys of batch 1 are below 2^31; new versions are numbered above them
-        return scd.scd2_publish(g1, staged(spark, sf, B.BATCH_2), B.BATCH_2, KEY, ATTRS, T2,
-                                next_sk_from=1 << 40)
+        return scd.scd2_publish(g0, staged(spark, sf, B.BATCH_1), B.BATCH_1, KEY, ATTRS, T1, next_sk_from=1)
+
+    def publish_both() -> DataFrame:
+        # the stored first version gives the largest key that new versions are numbered above
+        g1 = catalog.persisted("golden-first", spark, sf, publish_first)
+        return scd.scd2_publish(g1, staged(spark, sf, B.BATCH_2), B.BATCH_2, KEY, ATTRS, T2)
     return catalog.persisted("golden", spark, sf, publish_both)
 
 

@@ -111,10 +111,12 @@ def validate_raw(spark: SparkSession, layout: Layout, run_id: str, ingested_at:
     return {"validated_path": good, "quarantine_path": bad, "good_rows": m["good_rows"], "bad_rows": m["bad_rows"]}
 
 
-def enrich_run(spark: SparkSession, layout: Layout, run_id: str, current_only: bool = True) -> dict:
-    """validated (latest run) + zone snapshot (latest) -> curated run folder.
-    Coverage metrics are observed during the write (no extra scans)."""
-    validated = lake.resolve_latest(spark, layout.validated)
+def enrich_run(spark: SparkSession, layout: Layout, run_id: str, current_only: bool = True,
+               validated: str | None = None) -> dict:
+    """validated + zone snapshot (latest) -> curated run folder. ``validated``
+    is the folder that this run's validation wrote (the latest run's when the
+    job is started alone). Coverage metrics are observed during the write."""
+    validated = validated or lake.resolve_latest(spark, layout.validated)
     snapshot = lake.resolve_latest(spark, layout.snapshots)
     trips = spark.read.parquet(validated)
     if "bad_reason" in trips.columns:
@@ -158,7 +160,7 @@ def run_trips_pipeline(spark: SparkSession, layout: Layout, run_id: str, quality
         return result | {"status": governance.ST_FAILED, "reason": governance.REASON_APPROVAL_REJECTED}
     try:
         result["validate"] = validate_raw(spark, layout, run_id, _now().isoformat() + "+00:00")
-        result["metrics"] = enrich_run(spark, layout, run_id, current_only)
+        result["metrics"] = enrich_run(spark, layout, run_id, current_only, result["validate"]["validated_path"])
     except Exception as e:  # noqa: BLE001 - recorded, then reported
         audit(spark, layout, run_id, governance.EV_END, governance.ST_FAILED, governance.REASON_JOB_FAILED,
               str(e)[:1000])
@@ -290,8 +292,8 @@ def build_warehouse(spark: SparkSession, layout: Layout, run_id: str | None = No
     }
     for name, d in dims.items():
         d.write.mode("overwrite").parquet(f"{wh}/dim/{name}")
-    dims = {name: enrich.mark_bounded(spark.read.parquet(f"{wh}/dim/{name}"),
-                                      getattr(d, "_lakegov_max_rows", enrich.BROADCAST_MAX_ROWS))
+    # the rows counted while numbering go with the stored table
+    dims = {name: enrich.mark_bounded(spark.read.parquet(f"{wh}/dim/{name}"), d._lakegov_max_rows)
             for name, d in dims.items()}
     trips = lake.stage_curated(released_curated(spark, layout), run_id)
     fact = star.build_fact(trips, dims["vendor_dim"], dims["ratecode_dim"], dims["payment_dim"], dims["zone_dim"])

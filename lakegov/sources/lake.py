@@ -65,7 +65,7 @@ def latest_version(spark: SparkSession, base: str) -> DataFrame:
 def resolve_latest(spark: SparkSession, base: str) -> str:
     row = latest_version(spark, base).first()
     if row is None or row.latest_file is None:
-        raise FileNotFoundError(f"No objects found under {base}")
+        raise FileNotFoundError(f"{base} holds no file")
     return row.latest_dir
 
 
@@ -79,39 +79,45 @@ def write_run(df: DataFrame, base: str, run_id: str, key: str = "run_id") -> str
 
 def write_split(reasoned: DataFrame, good_base: str, bad_base: str, run_id: str,
                 observation: Observation | None = None) -> tuple[str, str]:
-    """B11 + A5 in ONE pass over the reasoned frame: rows are written once,
-    partitioned by their quality class, and the two class folders are then
-    exposed as the validated and quarantine outputs. Counts ride along as
-    an Observation (no extra jobs)."""
-    staged = reasoned.withColumn("_q", F.when(F.col("bad_reason") == "", F.lit("good")).otherwise(F.lit("bad")))
+    """B11 + A5: the reasoned rows are computed and stored once (counts ride
+    along as an Observation) and then written in place as the validated and
+    the quarantine run folder, each a plain filtered write. Nothing is moved
+    or renamed, and a class without rows is an empty table with its schema."""
+    staged = reasoned
     if observation is not None:
         staged = staged.observe(observation,
-                                F.count_if(F.col("_q") == "good").alias("good_rows"),
-                                F.count_if(F.col("_q") == "bad").alias("bad_rows"))
-    # staged next to (not under) the validated prefix, so listings of the
-    # validated folder never see half-moved output
+                                F.count_if(F.col("bad_reason") == "").alias("good_rows"),
+                                F.count_if(F.col("bad_reason") != "").alias("bad_rows"))
+    # stored next to (not under) the validated prefix, so listings never see it
     tmp = f"{good_base.rstrip('/')}__staging/run_id={run_id}"
-    staged.write.mode("overwrite").partitionBy("_q").parquet(tmp)
+    staged.write.mode("overwrite").parquet(tmp)
     spark = reasoned.sparkSession
-    good_out, bad_out = f"{good_base.rstrip('/')}/run_id={run_id}", f"{bad_base.rstrip('/')}/run_id={run_id}"
-    _move_dir(spark, f"{tmp}/_q=good", good_out)
-    _move_dir(spark, f"{tmp}/_q=bad", bad_out)
+    rows = spark.read.schema(reasoned.schema).parquet(tmp)
+    good_out = write_run(rows.filter(F.col("bad_reason") == ""), good_base, run_id)
+    bad_out = write_run(rows.filter(F.col("bad_reason") != ""), bad_base, run_id)
+    _fs(spark, tmp).delete(_path(spark, tmp), True)
     return good_out, bad_out
 
 
-def _move_dir(spark: SparkSession, src: str, dst: str) -> None:
-    """Rename a folder through the Hadoop FileSystem API (a metadata move)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src_p, dst_p = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    fs = src_p.getFileSystem(conf)
-    if fs.exists(dst_p):
-        fs.delete(dst_p, True)
-    fs.mkdirs(dst_p.getParent())
-    if fs.exists(src_p):
-        fs.rename(src_p, dst_p)
-    else:  # no rows of this class: an empty, schema-less folder
-        fs.mkdirs(dst_p)
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    return _fs(spark, path).getFileStatus(_path(spark, path)).isDirectory()
+
+
+def file_state(spark: SparkSession, path: str) -> tuple:
+    """(path, bytes, modification time) of every file below ``path``: changes when its data do."""
+    files, out = _fs(spark, path).listFiles(_path(spark, path), True), []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
 # A6 --------------------------------------------------------------------------

@@ -46,10 +46,12 @@ def ingest_stream(spark: SparkSession, source: str, schema: T.StructType | str,
     return w.start()
 
 
-def run_to_completion(query, timeout_s: float = 600) -> None:
-    """Wait for an availableNow stream to drain; re-raise its failure."""
-    query.awaitTermination(timeout_s)
-    if query.isActive:
+def run_to_completion(query, timeout_s: float | None = None) -> None:
+    """Wait for an availableNow stream to drain, however long that takes;
+    re-raise its failure. Only a caller's own ``timeout_s`` stops it early."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError("stream did not finish in time")
     if query.exception() is not None:

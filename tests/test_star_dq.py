@@ -160,11 +160,14 @@ def test_freshness(spark):
     assert none.freshness_ok is False and none.reason.startswith("No objects")
 
 
-def test_surrogate_key_beyond_bound_is_distributed(spark):
-    df = spark.range(50).withColumnRenamed("id", "k")
-    small = star.surrogate_key(df, "sk", ["k"], max_rows=100)
-    assert sorted(r.sk for r in small.collect()) == list(range(1, 51))
-    big = star.surrogate_key(df.repartition(4), "sk", ["k"], max_rows=10)   # over the bound
-    sks = [r.sk for r in big.collect()]
-    assert len(set(sks)) == 50
-    assert "Window" not in big._jdf.queryExecution().executedPlan().toString()
+def test_surrogate_key_is_dense_at_every_size(spark):
+    df = spark.range(50).selectExpr("CASE WHEN id = 7 THEN NULL ELSE 100 - id END AS k")
+    want = [(k, i + 1) for i, k in enumerate(sorted(100 - i for i in range(50) if i != 7))] + [(None, 50)]
+    for parts in (1, 4, 13):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        out = star.surrogate_key(df.repartition(parts), "sk", ["k"])
+        assert sorted(((r.k, r.sk) for r in out.collect()), key=lambda x: x[1]) == want
+        assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert star.surrogate_key(df.limit(0), "sk", ["k"]).count() == 0
+
