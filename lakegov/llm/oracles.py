@@ -25,7 +25,7 @@ weight(s, w) AS (VALUES {values}),
 mass AS (SELECT s, CAST(SUM(COALESCE(LENGTH(text), 0)) AS DOUBLE) AS m FROM base GROUP BY s),
 live AS (SELECT s, w, m FROM weight JOIN mass USING (s) WHERE m > 0),
 rate AS (SELECT s, w / (SELECT SUM(w) FROM live) * (SELECT SUM(m) FROM mass) / m AS r FROM live),
-step AS (SELECT s, k, SUM(exp(-r) * pow(r, k) / factorial(CAST(k AS INTEGER))) OVER (PARTITION BY s ORDER BY k) AS f
+step AS (SELECT s, k, SUM(exp(k * ln(r) - r - lgamma(k + 1.0))) OVER (PARTITION BY s ORDER BY k) AS f
          FROM rate, range(0, 60) AS g(k)),
 drawn AS (SELECT b.*, (SELECT COUNT(*) FROM step t WHERE t.s = b.s AND t.f <= b.u) AS n_copies
           FROM (SELECT *, {unit(seed, 'doc_id')} AS u FROM base) b)
