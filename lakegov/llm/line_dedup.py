@@ -78,6 +78,7 @@ def line_dedup(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS,
     judged = u.filter("d1 IS NOT NULL")
     first = (judged.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
              .drop("n"))
+    first = staged(first, "first-units")   # a join of two plain exchanges, which AQE can split
     gone = judged.join(first, ["d1", "d2"]).filter(place != F.col("first")).select("tie", "id_null", "id", "start", "end")
     spans = gone.groupBy("tie", "id_null", "id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("u"))
     whole = u.groupBy("tie", "id_null", "id").agg(F.max("end").alias("n_chars"), F.max("unit_no").alias("last"))
