@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakegov.llm import (
@@ -78,7 +79,9 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracles.LINE_DEDUP)
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that an earlier ranked document or place already has."""
-    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).drop("text_hash")
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents")).drop("text_hash")
+    runs = F.transform("spans", lambda r: F.concat_ws("-", r["start"], r["end"]))
+    return out.withColumn("spans", F.array_join(runs, ","))
 
 
 @query(oracles.SOURCE_MIX)

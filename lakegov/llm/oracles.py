@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
-from lakegov.llm import source_mix
+from lakegov.llm import line_dedup, source_mix
 
 QUALITY_RULES: str | None = None
-LINE_DEDUP: str | None = None
+#: Document ids are unique in the given tables, so they alone rank the lines.
+LINE_DEDUP = rf"""
+WITH cut AS (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS a, length(COALESCE(text, '')) AS n_chars FROM documents),
+unit AS (SELECT doc_id, n_chars, len(a) AS n_units, UNNEST(a) AS line, UNNEST(range(0, len(a))) AS no FROM cut),
+placed AS (SELECT *, SUM(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY no) - length(line) - 1 AS s,
+    trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm FROM unit),
+ranked AS (SELECT *, s + length(line) + CAST(no < n_units - 1 AS INTEGER) AS e,
+    length(norm) >= {line_dedup.MIN_CHARS} AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, no) > 1 AS gone FROM placed),
+marked AS (SELECT *, gone AND NOT COALESCE(lag(gone) OVER (PARTITION BY doc_id ORDER BY no), FALSE) AS opens FROM ranked),
+numbered AS (SELECT *, SUM(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY no) AS run FROM marked),
+runs AS (SELECT doc_id, run, MIN(s) AS s, MAX(e) AS e FROM numbered WHERE gone GROUP BY doc_id, run),
+listed AS (SELECT doc_id, CAST(SUM(e - s) AS BIGINT) AS n_removed, COUNT(*) AS n_spans,
+    string_agg(CAST(s AS VARCHAR) || '-' || CAST(e AS VARCHAR), ',' ORDER BY s) AS spans FROM runs GROUP BY doc_id)
+SELECT c.doc_id, c.n_chars, len(c.a) AS n_units, COALESCE(n_removed, 0) AS n_removed, COALESCE(n_spans, 0) AS n_spans,
+    COALESCE(spans, '') AS spans
+FROM cut c LEFT JOIN listed l ON l.doc_id = c.doc_id"""
 CHAT_FORMAT: str | None = None
 
 
