@@ -112,7 +112,10 @@ def is_folder(spark: SparkSession, path: str) -> bool:
 
 
 def file_state(spark: SparkSession, path: str) -> tuple:
-    """(path, bytes, modification time) of every file below ``path``: changes when its data do."""
+    """(path, bytes, modification time) of every file below ``path``, none
+    where it does not exist: changes when its data do."""
+    if not _fs(spark, path).exists(_path(spark, path)):
+        return ()
     files, out = _fs(spark, path).listFiles(_path(spark, path), True), []
     while files.hasNext():
         f = files.next()
