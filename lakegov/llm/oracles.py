@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from lakegov.llm import line_dedup, source_mix
+from lakegov.llm import line_dedup, quality_rules, source_mix
 
-QUALITY_RULES: str | None = None
 #: Document ids are unique in the given tables, so they alone rank the lines.
 LINE_DEDUP = rf"""
 WITH cut AS (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS a, length(COALESCE(text, '')) AS n_chars FROM documents),
@@ -24,6 +23,47 @@ FROM cut c LEFT JOIN listed l ON l.doc_id = c.doc_id"""
 CHAT_FORMAT: str | None = None
 
 
+def _quality_rules() -> str:
+    q = quality_rules
+    listed = ", ".join(f"'{s}'" for s in q.STRATA)
+    share = q.ALPHA / len(q.RULES)
+    level = q.DELTA / ((len(q.STRATA) + 1) * len(q.RULES))
+    grid = ", ".join(f"('{r}', {i}, CAST({c!r} AS DOUBLE))" for r, (_, cuts) in q.RULES.items() for i, c in enumerate(cuts))
+    scores = " UNION ALL ".join(f"SELECT doc_id, stratum, good, base_failed, '{r}' AS rule, CAST({e} AS DOUBLE) AS score FROM judged"
+                                for r, (e, _) in q.RULES.items())
+    return rf"""
+WITH d AS (SELECT doc_id, lang, COALESCE(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+word AS (SELECT doc_id, UNNEST(ws) AS x, UNNEST(range(0, len(ws))) AS i FROM w),
+gram AS (SELECT doc_id, i, x || ' ' || lead(x, 1) OVER p || ' ' || lead(x, 2) OVER p AS g FROM word
+    WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, g) AS c FROM gram WHERE g IS NOT NULL),
+covered AS (SELECT doc_id, COUNT(DISTINCT i + k) AS n FROM twice, range(0, 3) AS r(k) WHERE c > 1 GROUP BY doc_id),
+fact AS (SELECT doc_id, CASE WHEN lang IN ({listed}) THEN lang ELSE 'other' END AS stratum, len(ws) AS n_words,
+    length(array_to_string(ws, '')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[{q.SYMBOLS}]', '', 'g')) AS n_symbols, len(ls) AS n_lines,
+    len(ls) - len(list_distinct(ls)) AS n_dup_lines, COALESCE(n, 0) AS n_repeat_words FROM w LEFT JOIN covered USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good FROM fact),
+scored AS ({scores}),
+grid(rule, step, cutoff) AS (VALUES {grid}),
+cell AS (SELECT stratum, rule, step, cutoff, COUNT(*) AS n, COUNT(*) FILTER (WHERE score > cutoff) AS k
+    FROM scored JOIN grid USING (rule) WHERE good AND NOT base_failed GROUP BY stratum, rule, step, cutoff),
+tested AS (SELECT *, CASE WHEN k >= n * {share!r} THEN 1.0 ELSE (
+    SELECT SUM(exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0) + j * ln({share!r}) + (n - j) * ln(1 - {share!r})))
+    FROM range(0, 1000000) AS r(j) WHERE j <= k) END AS p FROM cell),
+stop AS (SELECT stratum, rule, COALESCE(MIN(step) FILTER (WHERE p > {level!r}), 1000000) AS s FROM tested GROUP BY stratum, rule),
+chosen AS (SELECT t.stratum, t.rule, MIN(cutoff) AS cutoff FROM tested t JOIN stop USING (stratum, rule) WHERE step < s
+    GROUP BY t.stratum, t.rule),
+over AS (SELECT DISTINCT doc_id FROM scored JOIN chosen USING (stratum, rule) WHERE score > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM over) AS kept FROM judged"""
+
+
+QUALITY_RULES = _quality_rules()
+
+
 def _source_mix() -> str:
     weights = source_mix.TARGET_WEIGHTS
     values = ", ".join(f"('{k}', CAST({w!r} AS DOUBLE))" for k, w in weights.items())
