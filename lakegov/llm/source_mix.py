@@ -11,6 +11,12 @@ Skew: sources are never a shuffle key (their masses come from a partial
 aggregate, their rates are literals), and the copies are dealt by a hash of
 (id, copy), so a source with a third of all rows spreads over all tasks.
 
+Large means: a stratum with little text has a large rate (the null stratum
+may hold one short row). A mean above ``PART`` is drawn as the sum of Poisson
+parts of equal mean, each inverted at a hash of its own, which is exact at any
+mean; such documents are exploded in runs of ``RUN`` copies, and the runs are
+spread over the tasks before they become rows.
+
 Defined cases: a null or unlisted source belongs to the stratum ``other``,
 which shares the weight named "*" (without one, its documents keep the rate
 1); a null text has no mass; a null id hashes as an empty string; repeated
@@ -29,6 +35,8 @@ from lakegov.llm.staging import unit_hash
 
 SEED = "mix-17"
 OTHER = "*"
+PART = 700.0   # largest mean inverted at one hash: exp(-PART) is a normal double
+RUN = 4096     # copies of one document that are exploded in one step
 
 #: Registered target: the one large source is held to a fifth, nineteen others share the rest.
 TARGET_WEIGHTS = {"src0": 4.0, **{f"src{i}": 0.8 for i in range(1, 20)}, OTHER: 0.8}
@@ -53,11 +61,12 @@ def rates(docs: DataFrame, weights: dict[str, float], target_mass: float | None
 
 
 def steps(rate: float) -> list[float]:
-    """Distribution function of Poisson(rate) at 0, 1, 2, ... until it is 1 to 52 bits."""
+    """Distribution function of Poisson(rate) at 0, 1, 2, ... until it is 1 to
+    52 bits; ``copies`` splits means above ``PART``."""
     if rate <= 0:
         return []
-    if rate > 700:
-        raise ValueError(f"a mean of {rate:.0f} repetitions per document is beyond what this sampler inverts (700)")
+    if rate > PART:
+        raise ValueError(f"the mean {rate:.0f} is to be split into parts of at most {PART:.0f}")
     out, term, total, k = [], math.exp(-rate), 0.0, 0
     while k <= rate or term > 2.0 ** -54:
         total += term
@@ -67,13 +76,26 @@ def steps(rate: float) -> list[float]:
     return out
 
 
-def copies(unit: Column, which: Column, by_stratum: dict[str, float]) -> Column:
-    """Number of copies: how many steps of the stratum's distribution function lie at or below ``unit``."""
+def copies(seed: str, doc: Column, which: Column, by_stratum: dict[str, float]) -> Column:
+    """Number of copies: how many steps of the stratum's distribution function
+    lie at or below the document's hash; summed over parts for a mean above ``PART``."""
     out = F.lit(0).cast("long")
     for name, rate in sorted(by_stratum.items()):
-        cdf = steps(rate)
-        n = F.size(F.filter(F.array(*map(F.lit, cdf)), lambda c: c <= unit)) if cdf else F.lit(0)
-        out = F.when(which == name, n.cast("long")).otherwise(out)
+        parts = max(1, math.ceil(rate / PART))
+        cdf = F.array(*map(F.lit, steps(rate / parts))) if rate > 0 else None
+
+        def at(unit: Column, cdf=cdf) -> Column:
+            return F.size(F.filter(cdf, lambda c: c <= unit)).cast("long")
+
+        if cdf is None:
+            n = F.lit(0).cast("long")
+        elif parts == 1:
+            n = at(unit_hash(seed, doc))
+        else:
+            every = F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))
+            units = F.transform(every, lambda j: unit_hash(f"{seed}-part", doc, j))
+            n = F.aggregate(units, F.lit(0).cast("long"), lambda a, u: a + at(u))
+        out = F.when(which == name, n).otherwise(out)
     return out
 
 
@@ -84,8 +106,19 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, target_mass: f
     weights = TARGET_WEIGHTS if weights is None else weights
     base = docs.drop("copy_no", "n_copies", "mix_key")
     by = rates(base, weights, target_mass, column, text)
-    drawn = base.withColumn("n_copies", copies(unit_hash(seed, F.col(id_col)), stratum(weights, column), by))
-    out = (drawn.filter("n_copies > 0")
-           .withColumn("copy_no", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_copies") - 1)))
-           .withColumn("mix_key", unit_hash(f"{seed}-order", F.col(id_col), F.col("copy_no"))))
+    which, zero = stratum(weights, column), F.lit(0).cast("long")
+
+    def drawn(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("n_copies", copies(seed, F.col(id_col), which, by)).filter("n_copies > 0")
+
+    large = [k for k, rate in by.items() if rate > PART]
+    usual = drawn(base.filter(~which.isin(*large)) if large else base)
+    out = usual.withColumn("copy_no", F.explode(F.sequence(zero, F.col("n_copies") - 1)))
+    if large:
+        runs = (drawn(base.filter(which.isin(*large)))
+                .withColumn("copy_no", F.explode(F.sequence(zero, F.col("n_copies") - 1, F.lit(RUN).cast("long"))))
+                .repartition(F.rand(17)))
+        end = F.least(F.col("copy_no") + RUN, "n_copies") - 1
+        out = out.unionByName(runs.withColumn("copy_no", F.explode(F.sequence("copy_no", end))))
+    out = out.withColumn("mix_key", unit_hash(f"{seed}-order", F.col(id_col), F.col("copy_no")))
     return out.repartition("mix_key").sortWithinPartitions("mix_key", "copy_no")

@@ -211,6 +211,27 @@ def test_mix(spark):
     assert cdf[0] == pytest.approx(np.exp(-2.5)) and cdf[-1] == 1.0 or abs(cdf[-1] - 1) < 1e-12
 
 
+def test_mix_short_stratum_beside_a_large_corpus(spark):
+    weights = source_mix.TARGET_WEIGHTS
+    rows = [(i, "x" * 3000, "en", f"src{i % 20}", 3000) for i in range(2000)] + [(-1, "abc", "en", None, 3)]
+    docs = spark.createDataFrame(rows, DOC)
+    rate = 0.8 / sum(weights.values()) * 6_000_003 / 3   # 80,000 copies of the one row without a source
+    assert source_mix.rates(docs, weights)["*"] == pytest.approx(rate) and rate > 50_000
+    n, low, high, different = source_mix.mix(docs).filter("doc_id = -1").agg(
+        F.count("copy_no"), F.min("copy_no"), F.max("copy_no"), F.countDistinct("copy_no")).first()
+    assert abs(n - rate) < 6 * rate ** 0.5 and (low, high, different) == (0, n - 1, n)
+    # the sum of parts has the mean and the variance of Poisson(2000), and the other stratum is drawn as before
+    ids = spark.range(4000).select("id", F.lit("*").alias("s"))
+    mean, variance = ids.select(source_mix.copies("m", F.col("id"), F.col("s"), {"*": 2000.0}).alias("n")).agg(
+        F.avg("n"), F.variance("n")).first()
+    assert mean == pytest.approx(2000, abs=6 * (2000 / 4000) ** 0.5) and variance == pytest.approx(2000, rel=0.15)
+    got = Counter(r.doc_id for r in source_mix.mix(docs).filter("doc_id >= 0").select("doc_id").collect())
+    cdf = {k: source_mix.steps(v) for k, v in source_mix.rates(docs, weights).items() if v <= source_mix.PART}
+    for i in range(2000):
+        u = int(hashlib.md5(f"{source_mix.SEED}:{i}".encode()).hexdigest()[:13], 16) / 2**52
+        assert got[i] == sum(c <= u for c in cdf[f"src{i % 20}"])
+
+
 # -- pipeline ----------------------------------------------------------------------------
 def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "simhash_near_dedup", "suffix_array_dedup",
