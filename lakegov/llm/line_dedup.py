@@ -11,8 +11,9 @@ that a third of all documents share costs one partial-aggregate row per task,
 and AQE can split the document side of the join back. Only a document's own
 removed units are ever gathered, in one row.
 
-Defined cases: a null text is empty; units with fewer than ``min_chars``
-normalised characters (empty lines, headings, list marks) are never removed;
+Defined cases: a null text is empty; units without a normalised character
+(empty lines) are never removed, nor are those with fewer than ``min_chars``,
+where a caller asks for a floor, such as one for headings and list marks;
 rows that repeat both id and text are one document and give one result row;
 an empty table gives no rows; other columns are not read.
 """
@@ -31,7 +32,7 @@ from lakegov.llm.staging import map_arrow, staged
 
 #: What ends a unit; it is removed with its unit.
 SEPARATOR = {"line": r"\n", "paragraph": r"\n[ \t\r]*\n\s*"}
-MIN_CHARS = 40
+MIN_CHARS = 1   # every unit that is not empty is judged
 UNITS = "tie long, id_null boolean, id long, unit_no long, start long, end long, d1 long, d2 long"
 
 
