@@ -9,9 +9,12 @@ Every document is searched whole, in three steps inside the task:
 1. windows: item-sized windows start at words. A window is looked at if it
    shares enough word pairs with an item near one diagonal: ``e`` edits leave at
    least ``W - 1 - 3e`` of an item's ``W - 1`` pairs whole, so no window within
-   the budget is lost where that is two or more; where it is less, two pairs
-   are asked for, as a part of the recall below. Items of fewer than four words
-   are looked up by single words.
+   the budget is lost where that is two or more. Where it is less, and for
+   items of fewer than four words (one word, in a script without spaces), the
+   item is cut into ``e + 1`` pieces, of which ``e`` edits leave one whole: its
+   first ``GRAM`` bytes are looked up at every byte of the text, and what holds
+   the piece goes to step 3 at once, so that nothing within the budget is lost.
+   Items shorter than ``GRAM`` bytes are looked up as whole words.
 2. CGK: a random walk copies a window into a longer string, moving on in the
    window by a random bit that depends on the step and the letter, so that few
    edits become few differing positions. ``WALKS`` walks with ``BANDS`` bands
@@ -43,6 +46,7 @@ from lakegov.llm.staging import map_arrow
 
 MAX_EDIT = 0.05
 WALKS, BANDS, SAMPLES = 8, 10, 5
+GRAM = 8
 BLOCK = 5_000
 SEED = 20_177
 
@@ -50,6 +54,16 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+#: Spreads eight bytes over the sieve of grams.
+_SPREAD = X.U64(0x9E3779B97F4A7C15)
+
+
+def moves(walk: int, step: int, letter: np.ndarray) -> np.ndarray:
+    """The walk's random bit at a step, by letter."""
+    at = (walk * 0xD6E8FEB86659FD93 + (step + 1) * 0xA24BAED4963EE407 + SEED) % (1 << 64)
+    return (X.finish((letter.astype(X.U64) + X.U64(1)) * _SPREAD + X.U64(at)) & X.U64(1)).astype(np.int64)
+
+
 def normal(text: str | None) -> bytes:
     """ASCII lower case, words joined by one space."""
     return b" ".join((text or "").encode().lower().split())
@@ -105,22 +119,35 @@ class Items:
         place = np.arange(len(starts)) - first[item]
         one, two = seeds(raw, starts, ends)
         both = item[1:] == item[:-1]
-        use2, use1 = both & ~by_word[item[:-1]], by_word[item]
+        # items that word pairs may lose, and their pieces: one is whole within the budget
+        weak = by_word | (n_words - 1 - 3 * self.budget < 2)
+        cut = {i: self.pieces_of(i) for i in np.flatnonzero(weak).tolist()}
+        by_piece = np.zeros(len(self.ids), bool)
+        by_piece[[i for i, found in cut.items() if min(len(x) for _, _, x in found) >= GRAM]] = True
+        self.pieces = sorted((x for i, found in cut.items() if by_piece[i] for x in found),
+                             key=lambda x: int.from_bytes(x[2][:GRAM], "little"))
+        self.gram = np.array([int.from_bytes(x[:GRAM], "little") for _, _, x in self.pieces], np.uint64)
+        self.gram_sieve = np.zeros(1 << 20, bool)
+        self.gram_sieve[(self.gram * _SPREAD >> X.U64(44)).astype(np.int64)] = True
+        use2, use1 = both & ~(by_word | by_piece)[item[:-1]], (by_word & ~by_piece)[item]
         seed = np.concatenate((two[use2], one[use1]))
         order = np.argsort(seed, kind="stable")
         self.seed = seed[order]
         self.seed_item = np.concatenate((item[:-1][use2], item[use1]))[order]
         self.seed_place = np.concatenate((place[:-1][use2], place[use1]))[order]
-        self.any_word = bool(by_word.any())
+        self.any_word = bool((by_word & ~by_piece).any())
         self.sieve = np.zeros(1 << 20, bool)
         self.sieve[(self.seed >> X.U64(44)).astype(np.int64)] = True
-        # CGK walks: one random bit per (walk, step, byte); sampled steps per band, as shares of the walk
-        rng = np.random.default_rng(SEED)
-        self.steps = 2 * int(self.size.max(initial=1))
-        self.moves = rng.integers(0, 2, (WALKS, self.steps, 256), dtype=np.uint8)
-        self.share = rng.random((WALKS, BANDS * SAMPLES))
+        # sampled steps per band of the CGK walks, as shares of the walk
+        self.share = np.random.default_rng(SEED).random((WALKS, BANDS * SAMPLES))
         self.own = self.embed([np.frombuffer(b, np.uint8) for b in self.text], np.arange(len(self.ids)))
 
+    def pieces_of(self, i: int) -> list[tuple[int, int, bytes]]:
+        """(item, byte offset, piece): the item in budget + 1 pieces of whole code points."""
+        s, n = self.string[i], int(self.budget[i]) + 1
+        cuts = [len(s) * k // n for k in range(n + 1)]
+        return [(i, len(s[:a].encode()), s[a:b].encode()) for a, b in zip(cuts, cuts[1:])]
+
     def embed(self, strings: list[np.ndarray], item: np.ndarray) -> np.ndarray:
         """Sampled letters of each string's walks (string x walk x sample); the
         samples lie within twice the item's size. 0 stands behind the end."""
@@ -136,7 +163,7 @@ class Items:
             place = np.zeros(n, np.int64)
             for step in range(2 * (width - 1)):
                 letter = walked[step] = flat[rows + place]
-                place = np.minimum(place + self.moves[w, step, letter], width - 1)
+                place = np.minimum(place + moves(w, step, letter), width - 1)
             sampled = (self.share[w][None, :] * (2 * size[:, None])).astype(np.int64)
             out[:, w] = walked[sampled, np.arange(n)[:, None]]
         return out
@@ -182,22 +209,60 @@ class Items:
             out.append((d, i, begin - int(first[d]), *self.cut(raw, starts, ends, first, d, begin, int(self.size[i]))))
         return out
 
+    def piece_windows(self, raw: np.ndarray, at: np.ndarray):
+        """(document, item, word number, text around it) of all places of a slice
+        of documents that hold a whole piece of an item."""
+        if not len(self.gram) or len(raw) < GRAM:
+            return
+        space = X.IS_SPACE[raw]
+        kept = np.ones(len(raw), bool)
+        kept[1:] = ~(space[1:] & space[:-1])
+        text = np.where(space, 32, _LOWER[raw]).astype(np.uint8)[kept]
+        first = np.r_[0, np.cumsum(kept)][at]
+        if len(text) < GRAM:
+            return
+        grams = np.array(np.ndarray((len(text) - GRAM + 1,), "<u8", text, 0, (1,)))
+        place = np.flatnonzero(self.gram_sieve[(grams * _SPREAD >> X.U64(44)).astype(np.int64)])
+        lo, hi = np.searchsorted(self.gram, grams[place], "left"), np.searchsorted(self.gram, grams[place], "right")
+        doc = np.searchsorted(first, place, "right") - 1
+        whole, seen = text.tobytes(), set()
+        for k in np.flatnonzero(hi > lo).tolist():
+            p, d = int(place[k]), int(doc[k])
+            begin, end = int(first[d]), int(first[d + 1])
+            for i, offset, piece in self.pieces[lo[k]:hi[k]]:
+                start = p - offset
+                if (d, i, start) in seen or p + len(piece) > end or not whole.startswith(piece, p):
+                    continue
+                seen.add((d, i, start))
+                slack = 4 * int(self.budget[i]) + 4   # a code point has up to four bytes
+                at_word = max(start, begin)
+                inside = begin < at_word and whole[at_word - 1] != 32
+                word = len(whole[begin:at_word].split()) - int(inside)
+                yield d, i, word, whole[max(begin, start - slack):min(end, start + int(self.size[i]) + slack)]
+
     def search(self, raw: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(document, item, edits, word number of the window): the best match of
         every matching document and item."""
         found = [(lo + d, *rest) for lo, _, r, a in X.slices(raw, at) for d, *rest in self.windows(r, a)]
         best: dict[tuple[int, int], tuple[int, int]] = {}
+
+        def verify(d: int, i: int, word: int, around: bytes) -> None:
+            known = best.get((d, i))
+            if known and known[0] == 0:
+                return
+            edits = 0 if self.text[i] in around else edit_distance_within(self.string[i], around.decode(errors="replace"))
+            if edits <= self.budget[i] and (known is None or edits < known[0]):
+                best[d, i] = (edits, word)
+
+        for lo, _, r, a in X.slices(raw, at):
+            for d, i, word, around in self.piece_windows(r, a):
+                verify(lo + d, i, word, around)
         for lo in range(0, len(found), 4096):
             part = found[lo:lo + 4096]
             near = self.alike([np.frombuffer(w[3], np.uint8) for w in part], np.array([w[1] for w in part]))
             for k in np.flatnonzero(near).tolist():
                 d, i, word, _, around = part[k]
-                known = best.get((d, i))
-                if known and known[0] == 0:
-                    continue
-                edits = 0 if self.text[i] in around else edit_distance_within(self.string[i], around.decode(errors="replace"))
-                if edits <= self.budget[i] and (known is None or edits < known[0]):
-                    best[d, i] = (edits, word)
+                verify(d, i, word, around)
         return [(d, i, e, w) for (d, i), (e, w) in sorted(best.items())]
 
     def lookup(self, seed: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

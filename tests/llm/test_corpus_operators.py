@@ -194,6 +194,32 @@ def test_decontamination_recall_at_full_budget():
     assert hit / n >= 0.95
 
 
+def test_decontamination_short_and_unspaced_items():
+    r, letters = random.Random(8), "abcdefghijklmnopqrstuvwxyz"
+    word = lambda n: "".join(r.choice(letters) for _ in range(n))
+    rows = [(k, " ".join(word(r.randint(4, 9)) for _ in range(4 + k % 7))) for k in range(60)]
+    rows += [(60 + k, "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(12 + 3 * k))) for k in range(20)]
+    items = decontaminate.Items(rows)
+    texts, want = [], []
+    for i, s in rows:
+        for _ in range(3):   # random edits up to the whole budget
+            c = list(s)
+            for _ in range(int(items.budget[i])):
+                q = r.randrange(len(c))
+                c[q:q + r.randint(0, 1)] = r.choice(["", "a", "x", "字"])
+            around = ("前文" * 9, "後文" * 9) if i >= 60 else ("some words  before\n", "\t and some behind")
+            want.append(i)
+            texts.append(around[0] + "".join(c).upper().replace(" ", " \n") + around[1])
+    raw, at = textnum.text_bytes(pa.array(texts))
+    got = {(d, i) for d, i, _, _ in items.search(raw, at)}
+    assert got >= set(enumerate(want))
+    for d, i, e, _ in items.search(raw, at):
+        assert e <= items.budget[i] and edit_by_hand(items.string[i], decontaminate.normal(texts[d]).decode()) == e
+    import pickle
+
+    assert len(pickle.dumps(decontaminate.Items([(0, "ab " * 10_000)]))) < 4_000_000
+
+
 # -- mixing ------------------------------------------------------------------------------
 def test_mix(spark):
     rows = [(i, "ab" * (i % 5), "en", f"s{i % 3}" if i % 10 else None, i) for i in range(3000)]
