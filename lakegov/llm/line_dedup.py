@@ -6,7 +6,8 @@ are grouped globally and only the earliest ranked occurrence of each stays.
 The result keeps the offsets (code points of the original text) of all that
 goes; ``cut`` applies them.
 
-Rank: document id (null last), a hash of the text, place in the text. A unit
+Rank: document id (null last), a hash of the text, a row number among rows
+without an id, place in the text. A unit
 that a third of all documents share costs one partial-aggregate row per task,
 and AQE can split the document side of the join back. Only a document's own
 removed units are ever gathered, in one row.
@@ -15,6 +16,8 @@ Defined cases: a null text is empty; units without a normalised character
 (empty lines) are never removed, nor are those with fewer than ``min_chars``,
 where a caller asks for a floor, such as one for headings and list marks;
 rows that repeat both id and text are one document and give one result row;
+rows without an id are documents of their own, also where the text repeats:
+one of them keeps its lines, and each has a result row;
 an empty table gives no rows; other columns are not read.
 """
 
@@ -33,7 +36,7 @@ from lakegov.llm.staging import map_arrow, staged
 #: What ends a unit; it is removed with its unit.
 SEPARATOR = {"line": r"\n", "paragraph": r"\n[ \t\r]*\n\s*"}
 MIN_CHARS = 1   # every unit that is not empty is judged
-UNITS = "tie long, id_null boolean, id long, unit_no long, start long, end long, d1 long, d2 long"
+UNITS = "tie long, id_null boolean, id long, row long, unit_no long, start long, end long, d1 long, d2 long"
 
 
 def units(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS, id_col: str = "doc_id",
@@ -42,11 +45,11 @@ def units(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS, id_co
     separator = re.compile(f"(?:{SEPARATOR[unit]})")
 
     def cut_up(batches):
-        schema = pa.schema([("tie", pa.int64()), ("id_null", pa.bool_()), ("id", pa.int64()), ("unit_no", pa.int64()),
+        schema = pa.schema([("tie", pa.int64()), ("id_null", pa.bool_()), ("id", pa.int64()), ("row", pa.int64()), ("unit_no", pa.int64()),
                             ("start", pa.int64()), ("end", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
         for b in batches:
-            out = [[] for _ in range(8)]
-            for i, tie, t in zip(b["id"].to_pylist(), b["tie"].to_pylist(), b["t"]):
+            out = [[] for _ in range(9)]
+            for i, tie, row, t in zip(b["id"].to_pylist(), b["tie"].to_pylist(), b["row"].to_pylist(), b["t"]):
                 t, start, no = t.as_py(), 0, 0
                 ends = [m.span() for m in separator.finditer(t)] + [(len(t), len(t))]
                 for stop, end in ends:
@@ -56,17 +59,18 @@ def units(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS, id_co
                         d1, d2 = np.frombuffer(h, np.int64).tolist()
                     else:
                         d1 = d2 = None
-                    for col, v in zip(out, (tie, i is None, i or 0, no, start, end, d1, d2)):
+                    for col, v in zip(out, (tie, i is None, i or 0, row, no, start, end, d1, d2)):
                         col.append(v)
                     start, no = end, no + 1
                 if len(out[0]) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
-                    out = [[] for _ in range(8)]
+                    out = [[] for _ in range(9)]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
     t = F.coalesce(F.col(text), F.lit(""))
-    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(t).alias("tie"), t.alias("t")),
-                     cut_up, UNITS)
+    i = F.col(id_col).cast("long")
+    row = F.when(i.isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0).cast("long"))
+    return map_arrow(docs.select(i.alias("id"), F.xxhash64(t).alias("tie"), row.alias("row"), t.alias("t")), cut_up, UNITS)
 
 
 def line_dedup(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS, id_col: str = "doc_id",
@@ -75,21 +79,22 @@ def line_dedup(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS,
     document the characters and maximal runs that go; ``spans`` holds
     (start, end) in order."""
     u = staged(units(docs, unit, min_chars, id_col, text), "units")
-    place = F.struct("id_null", "id", "tie", "unit_no")
+    doc = ["tie", "id_null", "id", "row"]
+    place = F.struct("id_null", "id", "tie", "row", "unit_no")
     judged = u.filter("d1 IS NOT NULL")
     first = (judged.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
              .drop("n"))
     first = staged(first, "first-units")   # a join of two plain exchanges, which AQE can split
-    gone = judged.join(first, ["d1", "d2"]).filter(place != F.col("first")).select("tie", "id_null", "id", "start", "end")
-    spans = gone.groupBy("tie", "id_null", "id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("u"))
-    whole = u.groupBy("tie", "id_null", "id").agg(F.max("end").alias("n_chars"), F.max("unit_no").alias("last"))
+    gone = judged.join(first, ["d1", "d2"]).filter(place != F.col("first")).select(*doc, "start", "end")
+    spans = gone.groupBy(*doc).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("u"))
+    whole = u.groupBy(*doc).agg(F.max("end").alias("n_chars"), F.max("unit_no").alias("last"))
     # neighbours that touch are one run
     starts = F.filter("u", lambda x, i: (i == 0) | (F.element_at("u", F.when(i == 0, 1).otherwise(i))["end"] < x["start"]))
     ends = F.filter("u", lambda x, i: (i == F.size("u") - 1) | (F.get("u", i + 1)["start"] > x["end"]))
     runs = F.arrays_zip(F.transform(starts, lambda x: x["start"]).alias("start"),
                         F.transform(ends, lambda x: x["end"]).alias("end"))
     none = F.expr("cast(array() as array<struct<start: bigint, end: bigint>>)")
-    out = whole.join(spans, ["tie", "id_null", "id"], "left").select(
+    out = whole.join(spans, doc, "left").select(
         F.when(~F.col("id_null"), F.col("id")).alias("doc_id"), F.col("tie").alias("text_hash"), "n_chars",
         (F.col("last") + 1).alias("n_units"), F.coalesce("u", none).alias("u"))
     return out.select("doc_id", "text_hash", "n_chars", "n_units",
@@ -99,10 +104,21 @@ def line_dedup(docs: DataFrame, unit: str = "line", min_chars: int = MIN_CHARS,
 
 
 def cut(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the runs of ``line_dedup`` cut from ``text``."""
-    r = removed.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_tie"), "spans")
-    d = docs.withColumn("_tie", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    d = d.join(r, (d["_tie"] == r["_tie"]) & d[id_col].eqNullSafe(r["_id"]), "left").drop("_id", "_tie")
+    """``docs`` with the runs of ``line_dedup`` cut from ``text``. Of the rows
+    without an id that share a text, one gets the runs of the first ranked, the
+    others those of the rest, which are the same for all of them."""
+    tie = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    r = removed.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_tie"), "n_removed", "spans")
+    d = docs.filter(F.col(id_col).isNotNull()).withColumn("_tie", tie)
+    n = r.filter("_id IS NOT NULL").drop("n_removed")
+    d = d.join(n, (d["_tie"] == n["_tie"]) & (d[id_col] == n["_id"]), "left").select(*docs.columns, "spans")
+    bare = docs.filter(F.col(id_col).isNull()).withColumns({"_tie": tie, "_row": F.monotonically_increasing_id()})
+    bare = staged(bare, "rows-without-id")   # the row numbers are read twice
+    found = r.filter("_id IS NULL").groupBy("_tie").agg(F.min_by("spans", "n_removed").alias("_first"),
+                                                        F.max_by("spans", "n_removed").alias("_rest"))
+    found = staged(found.join(bare.groupBy("_tie").agg(F.min("_row").alias("_head")), "_tie"), "runs-without-id")
+    own = F.when(F.col("_row") == F.col("_head"), F.col("_first")).otherwise(F.col("_rest"))
+    d = d.unionByName(bare.join(found, "_tie", "left").select(*docs.columns, own.alias("spans")))
     kept = F.expr(f"""aggregate(coalesce(spans, array()),
         named_struct('at', 1L, 's', cast('' as string)),
         (a, x) -> named_struct('at', x.end + 1, 's', concat(a.s, substring({text}, cast(a.at as int), cast(x.start + 1 - a.at as int)))),

@@ -173,6 +173,19 @@ def test_line_dedup(spark, docs, edge):
     assert [r.n_removed for r in line_dedup.line_dedup(two, "paragraph", 5).orderBy("doc_id").collect()] == [0, 19]  # 12 + 1 + 4 and the blank line
 
 
+def test_line_dedup_rows_without_id(spark):
+    rows = [(None, "a line\nanother", k) for k in range(5)] + [(None, "another\nof its own", 5), (4, "A  line", 6), (4, "A  line", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, k long").repartition(3)
+    removed = line_dedup.line_dedup(docs)
+    assert Counter((r.doc_id, r.n_chars) for r in removed.collect()) == {(None, 14): 5, (None, 18): 1, (4, 7): 1}
+    left = line_dedup.cut(docs, removed)
+    assert left.columns == docs.columns
+    got = {r.k: r.text for r in left.collect()}
+    assert sorted(got) == list(range(8)) and got[6] == got[7] == "A  line"   # repeated id and text are one document
+    lines = Counter(x for k in range(6) for x in got[k].split("\n") if x)
+    assert lines == {"another": 1, "of its own": 1}
+
+
 def test_line_dedup_query_removes_short_lines(spark, tmp_path):
     rows = [(1, "All rights reserved\n}\nfirst body", "en", "s", 33), (2, "second body\n\n}\nall  rights reserved", "en", "s", 33)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
