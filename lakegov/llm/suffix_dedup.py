@@ -328,6 +328,7 @@ def repeated_runs(docs: DataFrame, span: int = SPAN, hot: int = HOT, text: str =
     different = (marked.filter("mixed").groupBy("anchor", "seg")
                  .agg(F.count(F.lit(1)).alias("n"), F.first("rel").alias("rel"), F.min(place).alias("p")))
     asked = different.groupBy(F.col("p.d").alias("d")).agg(F.collect_list(F.struct("p.at", "anchor", "seg", "n", "rel")).alias("asked"))
+    asked = staged(asked, "asked-segments")   # a join of two plain exchanges, which AQE can split
     t = _text(text)
     texts = docs.select(t.alias("t"), F.xxhash64(t).alias("d"), _check(t).alias("c")).filter(F.octet_length("t") >= span)
 
@@ -357,6 +358,7 @@ def repeated_runs(docs: DataFrame, span: int = SPAN, hot: int = HOT, text: str =
     each = rows.select("d", F.struct("c", (F.col("s") + F.col("r.a")).alias("a"), (F.col("s") + F.col("r.b")).alias("b")).alias("x"))
     out = staged(each.groupBy("d").agg(F.collect_set("x").alias("runs")), "document-runs")
     drop_staged(marked)
+    drop_staged(asked)
     drop_staged(contents)
     return out
 

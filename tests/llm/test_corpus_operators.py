@@ -75,6 +75,21 @@ def test_suffix_dedup(spark, hot):
     assert [got[i] for i in range(len(texts))] == removed_by_hand(texts, 25)
 
 
+def test_suffix_dedup_takes_texts_by_a_join_that_can_be_split(spark, monkeypatch):
+    plans, stored = {}, suffix_dedup.staged
+
+    def spy(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stored(df, name)
+
+    monkeypatch.setattr(suffix_dedup, "staged", spy)
+    texts = planted(60, 1)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.suffix_dedup(df, 25).collect()}
+    assert [got[i] for i in range(len(texts))] == removed_by_hand(texts, 25)
+    assert "Join" in plans["contents"] and "collect_list" not in plans["contents"]
+
+
 def test_suffix_dedup_query_and_edges(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = docs.select("doc_id", "text").collect()
