@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from lakegov.llm import (
     chat_format,
+    conversation_trie,
     decontaminate,
     importance,
     line_dedup,
@@ -112,6 +113,12 @@ def op10_budgeted_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(staged(chat_format.windows(conversations.unionByName(extra)), "chat-windows"))
 
 
+@query(oracles.CONVERSATION_TRIE)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix tree of the rebuilt conversations with subtree leaves and savings."""
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations")).drop("enter_at", "exit_at")
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages over ``documents``."""

