@@ -98,15 +98,15 @@ WITH RECURSIVE step(i, n, v) AS (SELECT i, 0, i::UBIGINT FROM range(0, 256) AS g
     UNION ALL SELECT i, n + 1, xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END) FROM step WHERE n < 8),
 tab AS (SELECT i, v FROM step WHERE n = 8),
 ids AS (SELECT DISTINCT conv_id AS c, CAST(conv_id AS VARCHAR) AS t FROM conversations WHERE conv_id IS NOT NULL),
-crc(c, t, at, v) AS (SELECT c, t, 1, 4294967295::UBIGINT FROM ids
-    UNION ALL SELECT c, t, at + 1, xor(crc.v >> 8, tab.v) FROM crc JOIN tab ON tab.i = xor(crc.v & 255, ascii(substr(t, at, 1))::UBIGINT)
-    WHERE at <= length(t)),
-h AS (SELECT c, CAST(xor(v, 4294967295::UBIGINT) % 6 AS BIGINT) AS h FROM crc WHERE at = length(t) + 1),
+crc(c, t, place, v) AS (SELECT c, t, 1, 4294967295::UBIGINT FROM ids
+    UNION ALL SELECT c, t, place + 1, xor(crc.v >> 8, tab.v) FROM crc JOIN tab ON tab.i = xor(crc.v & 255, ascii(substr(t, place, 1))::UBIGINT)
+    WHERE place <= length(t)),
+h AS (SELECT c, CAST(xor(v, 4294967295::UBIGINT) % 6 AS BIGINT) AS h FROM crc WHERE place = length(t) + 1),
 own AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
     COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
-lent AS (SELECT h.c, o.pos AS at, o.role, o.text FROM h JOIN own o ON o.c = h.c - h.c % 100 AND o.pos <= h.h
+lent AS (SELECT h.c, o.pos AS place, o.role, o.text FROM h JOIN own o ON o.c = h.c - h.c % 100 AND o.pos <= h.h
     UNION ALL SELECT o.c, o.pos + 10, o.role, o.text FROM own o JOIN h ON h.c = o.c AND o.pos > h.h),
-turns AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY at) AS d, md5(length(role) || ':' || role || text) AS m, length(text) AS n FROM lent),
+turns AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY place) AS d, md5(length(role) || ':' || role || text) AS m, length(text) AS n FROM lent),
 pre AS (SELECT c, d, n, list(m) OVER (PARTITION BY c ORDER BY d) AS k FROM turns
     UNION ALL SELECT c, 0, 0, [] FROM ids),
 named AS (SELECT *, MIN(c) OVER (PARTITION BY d, k) AS node, MAX(d) OVER (PARTITION BY c) AS len FROM pre),
