@@ -19,6 +19,7 @@ from lakegov.llm import (
     conversation_trie,
     decontaminate,
     importance,
+    language_id,
     line_dedup,
     oracles,
     quality_rules,
@@ -119,6 +120,13 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations")).drop("enter_at", "exit_at")
 
 
+@query()
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language, score and ambiguity of every document by error-correcting output codes."""
+    docs = table(spark, sf_dir, "documents")
+    return staged(language_id.identify(docs, language_id.fit(docs)), "languages")
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages over ``documents``."""
