@@ -26,6 +26,7 @@ from lakegov.llm import (
     simhash_trie,
     source_mix,
     suffix_dedup,
+    token_alignment,
     token_prefix,
     toxicity_chain,
 )
@@ -114,6 +115,12 @@ def op10_budgeted_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(staged(chat_format.windows(conversations.unionByName(extra)), "chat-windows"))
 
 
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two vocabularies, with corpus-wide pair counts."""
+    return token_alignment.token_alignment(table(spark, sf_dir, "documents"), *token_alignment.paths())
+
+
 @query(oracles.CONVERSATION_TRIE)
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefix tree of the rebuilt conversations with subtree leaves and savings."""
