@@ -2,24 +2,31 @@
 
 from __future__ import annotations
 
-from lakegov.llm import line_dedup, quality_rules, source_mix
+from lakegov.llm import quality_rules, source_mix
 
-#: Document ids are unique in the given tables, so they alone rank the lines.
-LINE_DEDUP = rf"""
-WITH cut AS (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS a, length(COALESCE(text, '')) AS n_chars FROM documents),
-unit AS (SELECT doc_id, n_chars, len(a) AS n_units, UNNEST(a) AS line, UNNEST(range(0, len(a))) AS no FROM cut),
-placed AS (SELECT *, SUM(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY no) - length(line) - 1 AS s,
+#: Document ids are unique in the given tables, so they alone rank the blocks. A
+#: unit ends behind a line break or a mark and its blanks (chr(1) stands for the
+#: cut); a block begins at every unit that is not empty and has 150 normalised characters or more.
+LINE_DEDUP = r"""
+WITH cut AS (SELECT doc_id, string_split(regexp_replace(COALESCE(text, ''), '([.!?][ \t]+|\n)', '\1' || chr(1), 'g'), chr(1)) AS a,
+    length(COALESCE(text, '')) AS n_chars FROM documents),
+unit AS (SELECT doc_id, n_chars, UNNEST(a) AS line, UNNEST(range(0, len(a))) AS no FROM cut),
+placed AS (SELECT *, SUM(length(line)) OVER (PARTITION BY doc_id ORDER BY no) AS e,
     trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm FROM unit),
-ranked AS (SELECT *, s + length(line) + CAST(no < n_units - 1 AS INTEGER) AS e,
-    length(norm) >= {line_dedup.MIN_CHARS} AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, no) > 1 AS gone FROM placed),
-marked AS (SELECT *, gone AND NOT COALESCE(lag(gone) OVER (PARTITION BY doc_id ORDER BY no), FALSE) AS opens FROM ranked),
-numbered AS (SELECT *, SUM(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY no) AS run FROM marked),
-runs AS (SELECT doc_id, run, MIN(s) AS s, MAX(e) AS e FROM numbered WHERE gone GROUP BY doc_id, run),
-listed AS (SELECT doc_id, CAST(SUM(e - s) AS BIGINT) AS n_removed, COUNT(*) AS n_spans,
+filled AS (SELECT *, e - length(line) AS s, SUM(length(norm)) OVER p AS c, row_number() OVER p AS k FROM placed WHERE norm <> ''
+    WINDOW p AS (PARTITION BY doc_id ORDER BY no)),
+listed AS (SELECT doc_id, list(norm ORDER BY k) AS norms FROM filled GROUP BY doc_id),
+block AS (SELECT a.doc_id, a.no, a.s, z.e, md5(array_to_string(l.norms[a.k : z.k], chr(10))) AS h
+    FROM filled a ASOF JOIN filled z ON a.doc_id = z.doc_id AND z.c >= a.c - length(a.norm) + 150 JOIN listed l ON l.doc_id = a.doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, no) > 1 AS gone FROM block),
+later AS (SELECT *, MAX(e) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM ranked WHERE gone),
+numbered AS (SELECT *, SUM(CASE WHEN before IS NULL OR before < s THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM later),
+runs AS (SELECT doc_id, run, MIN(s) AS s, MAX(e) AS e FROM numbered GROUP BY doc_id, run),
+total AS (SELECT doc_id, CAST(SUM(e - s) AS BIGINT) AS n_removed, COUNT(*) AS n_spans,
     string_agg(CAST(s AS VARCHAR) || '-' || CAST(e AS VARCHAR), ',' ORDER BY s) AS spans FROM runs GROUP BY doc_id)
 SELECT c.doc_id, c.n_chars, len(c.a) AS n_units, COALESCE(n_removed, 0) AS n_removed, COALESCE(n_spans, 0) AS n_spans,
     COALESCE(spans, '') AS spans
-FROM cut c LEFT JOIN listed l ON l.doc_id = c.doc_id"""
+FROM cut c LEFT JOIN total l ON l.doc_id = c.doc_id"""
 CHAT_FORMAT: str | None = None
 
 

@@ -96,6 +96,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each behind as many underscores as it needs to be no column of
+    ``df``: operators that carry a caller's columns name their own ones so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def unit_hash(seed: str, *cols: Column) -> Column:
     """A uniform number in [0, 1) from MD5 of the seed and the columns as text
     (null: empty), 52 bits, the same on every engine."""

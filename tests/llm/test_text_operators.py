@@ -138,27 +138,33 @@ def test_toxicity(spark, docs, labels, edge):
     assert toxicity_chain.score(edge, none).filter("is_toxic").count() == 0
 
 
-def lines_by_hand(rows, least):
+def removed_by_hand(rows, least, pattern=r"[.!?][ \t]+|\n"):
+    """Characters that go per document: every unit of a later block is marked by hand."""
     seen, out = set(), {}
     for i, t in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0)):
-        gone = []
-        at = 0
-        for line in (t or "").split("\n"):
-            end = min(at + len(line) + 1, len(t or ""))
-            norm = " ".join(line.lower().split())
-            if len(norm) >= least:
-                if norm in seen:
-                    gone.append((at, end))
-                seen.add(norm)
-            at = end
-        out[i] = sum(e - s for s, e in gone)
+        t = t or ""
+        ends = [*(m.end() for m in re.finditer(pattern, t)), len(t)]
+        units = [(a, e, " ".join(t[a:e].lower().split())) for a, e in zip([0, *ends], ends)]
+        filled = [u for u in units if u[2]]
+        gone = [False] * len(t)
+        for k in range(len(filled)):
+            for m in range(k, len(filled)):
+                if sum(len(u[2]) for u in filled[k:m + 1]) >= least:
+                    block = tuple(u[2] for u in filled[k:m + 1])
+                    if block in seen:
+                        gone[filled[k][0]:filled[m][1]] = [True] * (filled[m][1] - filled[k][0])
+                    seen.add(block)
+                    break
+        out[i] = sum(gone)
     return out
 
 
 def test_line_dedup(spark, docs, edge):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = {r.doc_id: r for r in line_dedup.line_dedup(docs).collect()}
-    assert {k: r.n_removed for k, r in got.items()} == lines_by_hand(rows, line_dedup.MIN_CHARS)
+    assert {k: r.n_removed for k, r in got.items()} == removed_by_hand(rows, 150)
+    alone = {r.doc_id: r.n_removed for r in line_dedup.line_dedup(docs, "line", 1).collect()}
+    assert alone == removed_by_hand(rows, 1, r"\n")
     texts = dict(rows)
     cleaned = {r.doc_id: r.text for r in line_dedup.cut(docs, line_dedup.line_dedup(docs)).collect()}
     for k, r in got.items():
@@ -167,7 +173,7 @@ def test_line_dedup(spark, docs, edge):
             kept.append(t[at:s.start])
             at = s.end
         assert cleaned[k] == "".join(kept) + t[at:]
-    assert line_dedup.line_dedup(edge, min_chars=2).count() == len(EDGE) - 1  # one row repeats id and text
+    assert line_dedup.line_dedup(edge, block_chars=2).count() == len(EDGE) - 1  # one row repeats id and text
     assert line_dedup.line_dedup(edge.limit(0)).count() == 0
     two = spark.createDataFrame([(1, "para one is\nhere\n\n\npara two"), (2, "x\n \nPara  one is\nhere\n\ny")], "doc_id long, text string")
     assert [r.n_removed for r in line_dedup.line_dedup(two, "paragraph", 5).orderBy("doc_id").collect()] == [0, 19]  # 12 + 1 + 4 and the blank line
@@ -176,7 +182,7 @@ def test_line_dedup(spark, docs, edge):
 def test_line_dedup_rows_without_id(spark):
     rows = [(None, "a line\nanother", k) for k in range(5)] + [(None, "another\nof its own", 5), (4, "A  line", 6), (4, "A  line", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, k long").repartition(3)
-    removed = line_dedup.line_dedup(docs)
+    removed = line_dedup.line_dedup(docs, "line", 1)
     assert Counter((r.doc_id, r.n_chars) for r in removed.collect()) == {(None, 14): 5, (None, 18): 1, (4, 7): 1}
     left = line_dedup.cut(docs, removed)
     assert left.columns == docs.columns
@@ -186,12 +192,26 @@ def test_line_dedup_rows_without_id(spark):
     assert lines == {"another": 1, "of its own": 1}
 
 
-def test_line_dedup_query_removes_short_lines(spark, tmp_path):
-    rows = [(1, "All rights reserved\n}\nfirst body", "en", "s", 33), (2, "second body\n\n}\nall  rights reserved", "en", "s", 33)]
+def test_line_dedup_query_judges_short_lines_by_their_neighbours(spark, tmp_path):
+    """A short line alone stays wherever it stands; inside a repeated block of 150 characters it goes."""
+    notice = "All rights reserved\n}\n" + "The notice of the licence is to be kept with all copies of this text and whatever is made of it" * 2 + "\n"
+    rows = [(1, "All rights reserved\n}\nfirst body", "en", "s", 33), (2, "second body\n\n}\nall  rights reserved", "en", "s", 33),
+            (3, notice + "third body", "en", "s", 0), (4, "fourth body\n" + notice.upper() + "}\nend", "en", "s", 0)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
         f"{tmp_path}/documents.parquet")
     got = {r.doc_id: (r.n_removed, r.spans) for r in catalog.op6_line_dedup(spark, str(tmp_path)).collect()}
-    assert got == {1: (0, ""), 2: (22, "13-35")}  # the empty line stays
+    assert got == {1: (0, ""), 2: (0, ""), 3: (0, ""), 4: (len(notice), f"12-{12 + len(notice)}")}
+
+
+def test_line_dedup_one_earliest_copy_of_every_unit_stays(spark):
+    rnd = random.Random(2)
+    say = [f"sentence {k} {'x' * (7 * k % 40)}." for k in range(25)]
+    rows = [(i, " ".join(rnd.choice(say) for _ in range(rnd.randint(1, 30)))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    removed = line_dedup.line_dedup(docs, block_chars=60)
+    assert {r.doc_id: r.n_removed for r in removed.collect()} == removed_by_hand(rows, 60)
+    left = " ".join(r.text for r in line_dedup.cut(docs, removed).collect())
+    assert all(s in left for s in say if any(s in t for _, t in rows))
 
 
 @pytest.mark.parametrize("budget,history", [(1024, 256), (60, 24)])
