@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegov.llm import textnum as X
-from lakegov.llm.staging import map_arrow, staged, unit_hash
+from lakegov.llm.staging import map_arrow, staged, unit_hash, unused
 
 BUCKETS = 10_000
 MAX_TARGET = 20_000
@@ -101,13 +101,14 @@ def with_weights(docs: DataFrame, ratios: np.ndarray, text: str = "text", keep_t
     """``docs`` with each document's log importance weight (the text only if kept)."""
     kept = [f for f in docs.schema if f.name != name and (keep_text or f.name != text)]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{name}` double"])
+    own, = unused(docs, "weighed")
 
     def run(batches):
         for b in batches:
-            w = document_weights(ratios, b["_text"])
+            w = document_weights(ratios, b[own])
             yield pa.RecordBatch.from_arrays([*(b[f.name] for f in kept), pa.array(w)], names=[*(f.name for f in kept), name])
 
-    return map_arrow(docs.select(*(f.name for f in kept), F.col(text).alias("_text")), run, schema)
+    return map_arrow(docs.select(*(f.name for f in kept), F.col(text).alias(own)), run, schema)
 
 
 def noisy(weight: str = "log_weight", id_col: str = "doc_id", seed: str = SEED):
@@ -175,5 +176,6 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, keep: flo
 def keep_selected(docs: DataFrame, ratios: np.ndarray, cut: float, id_col: str = "doc_id", text: str = "text",
                   seed: str = SEED) -> DataFrame:
     """The selected rows of ``docs``, all columns, scored again in flight rather than joined."""
-    out = with_weights(docs, ratios, text, keep_text=True, name="_log_weight")
-    return out.filter(noisy("_log_weight", id_col, seed) >= F.lit(cut)).select(*docs.columns)
+    name, = unused(docs, "log_weight")
+    out = with_weights(docs, ratios, text, keep_text=True, name=name)
+    return out.filter(noisy(name, id_col, seed) >= F.lit(cut)).select(*docs.columns)

@@ -78,7 +78,8 @@ def _source_mix() -> str:
     seed = source_mix.SEED
 
     def unit(seed: str, *cols: str) -> str:
-        parts = " || ':' || ".join([f"'{seed}'", *(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in cols)])
+        drawn_by = "CAST(doc_id AS VARCHAR) || '/' || md5(COALESCE(text, '')) || '/'"
+        parts = " || ':' || ".join([f"'{seed}'", drawn_by, *(f"CAST({c} AS VARCHAR)" for c in cols)])
         return f"CAST(CAST('0x' || substr(md5({parts}), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0"
 
     return f"""
@@ -88,10 +89,10 @@ mass AS (SELECT s, CAST(SUM(COALESCE(LENGTH(text), 0)) AS DOUBLE) AS m FROM base
 live AS (SELECT s, w, m FROM weight JOIN mass USING (s) WHERE m > 0),
 rate AS (SELECT s, w / (SELECT SUM(w) FROM live) * (SELECT SUM(m) FROM mass) / m AS r FROM live),
 step AS (SELECT s, k, SUM(exp(k * ln(r) - r - lgamma(k + 1.0))) OVER (PARTITION BY s ORDER BY k) AS f
-         FROM rate, range(0, 60) AS g(k)),
+         FROM rate, LATERAL (SELECT UNNEST(range(0, CAST(r + 12 * sqrt(r) + 40 AS BIGINT))) AS k)),
 drawn AS (SELECT b.*, (SELECT COUNT(*) FROM step t WHERE t.s = b.s AND t.f <= b.u) AS n_copies
-          FROM (SELECT *, {unit(seed, 'doc_id')} AS u FROM base) b)
-SELECT d.* EXCLUDE (s, u), c.copy_no, {unit(seed + '-order', 'd.doc_id', 'c.copy_no')} AS mix_key
+          FROM (SELECT *, {unit(seed)} AS u FROM base) b)
+SELECT d.* EXCLUDE (s, u), c.copy_no, {unit(seed + '-order', 'c.copy_no')} AS mix_key
 FROM drawn d, LATERAL (SELECT UNNEST(range(0, d.n_copies)) AS copy_no) c"""
 
 

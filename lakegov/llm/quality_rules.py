@@ -21,12 +21,13 @@ the feature wins.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegov.llm.staging import staged
+from lakegov.llm.staging import staged, unused
 
 SPACE_CHARS = (" ", "\t", "\n", "\x0b", "\f", "\r")
 SYMBOLS = "#*$%&|<>"
@@ -58,39 +59,42 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
     t = F.coalesce(F.col(text), F.lit(""))
     keep = [c for c in docs.columns if c not in names and c != text]
-    d = docs.select(*keep, t.alias("_t"))
+    # own columns: text, words, their number, hashes, hash mask, windows, candidates, compared ones, places, lines
+    own = dict(zip("twnhmscepl", unused(docs, *(f"q_{x}" for x in "twnhmscepl"))))
+    e = lambda sql: F.expr(re.sub(r"\b_([a-z])\b", lambda m: f"`{own[m.group(1)]}`", sql))
+    d = docs.select(*keep, t.alias(own["t"]))
     # words: other white space becomes a space, empty pieces between spaces go
-    spaced = reduce(lambda c, ch: F.replace(c, F.lit(ch), F.lit(" ")), SPACE_CHARS[1:], F.col("_t"))
-    d = d.withColumn("_w", F.array_remove(F.split(spaced, " "), ""))
-    d = d.withColumn("_n", F.coalesce(F.size("_w"), F.lit(0)))
-    d = d.withColumn("_h", F.expr("transform(_w, x -> xxhash64(x))"))
+    spaced = reduce(lambda c, ch: F.replace(c, F.lit(ch), F.lit(" ")), SPACE_CHARS[1:], F.col(own["t"]))
+    d = d.withColumn(own["w"], F.array_remove(F.split(spaced, " "), ""))
+    d = d.withColumn(own["n"], F.coalesce(F.size(own["w"]), F.lit(0)))
+    d = d.withColumn(own["h"], e("transform(_w, x -> xxhash64(x))"))
     # a window's hash with its position in the low bits; _m masks the hash part
-    d = d.withColumn("_m", F.expr(
+    d = d.withColumn(own["m"], e(
         "coalesce(shiftleft(-1L, cast(ceil(log2(_n + 2)) as int)), -1L)"))
-    d = d.withColumn("_s", F.expr(
+    d = d.withColumn(own["s"], e(
         "CASE WHEN _n < 3 THEN cast(array() as array<bigint>) ELSE sort_array(transform("
         "zip_with(zip_with(slice(_h, 1, _n - 2), slice(_h, 2, _n - 2), (a, b) -> xxhash64(a, b)), "
         "slice(_h, 3, _n - 2), (a, b) -> xxhash64(a, b)), (x, i) -> (coalesce(x, 0L) & _m) + i)) END"))
     # candidates: neighbours in hash order with equal hash parts
-    d = d.withColumn("_c", F.expr(
+    d = d.withColumn(own["c"], e(
         "CASE WHEN _n < 4 THEN cast(array() as array<bigint>) ELSE array_distinct(flatten(filter("
         "zip_with(slice(_s, 1, _n - 3), slice(_s, 2, _n - 3), "
         "(a, b) -> CASE WHEN ((a ^ b) & _m) = 0 THEN array(a, b) END), x -> x IS NOT NULL))) END"))
-    d = d.withColumn("_e", F.expr(
+    d = d.withColumn(own["e"], e(
         "array_sort(transform(transform(_c, v -> cast(v & ~_m as int)), "
         "p -> named_struct('g', slice(_w, p + 1, 3), 'p', p)))"))
-    d = d.withColumn("_p", F.expr(
+    d = d.withColumn(own["p"], e(
         "sort_array(transform(filter(_e, (x, j) -> x.g <=> get(_e, j + 1).g OR (j > 0 AND x.g <=> get(_e, j - 1).g)), "
         "x -> x.p))"))
-    d = d.withColumn("_l", F.expr(rf"filter(split(_t, '\n'), x -> btrim(x, ' \t\n\u000B\f\r') <> '')"))
+    d = d.withColumn(own["l"], e(rf"filter(split(_t, '\n'), x -> btrim(x, ' \t\n\u000B\f\r') <> '')"))
     return d.select(
         *keep,
-        F.col("_n").cast("long").alias("n_words"),
-        F.char_length(F.array_join("_w", "")).cast("long").alias("word_chars"),
-        F.regexp_count("_t", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
-        F.size("_l").cast("long").alias("n_lines"),
-        (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        F.expr("aggregate(transform(_p, (p, j) -> least(3, coalesce(get(_p, j + 1) - p, 3))), 0L, (a, x) -> a + x)")
+        F.col(own["n"]).cast("long").alias("n_words"),
+        F.char_length(F.array_join(own["w"], "")).cast("long").alias("word_chars"),
+        F.regexp_count(own["t"], F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
+        F.size(own["l"]).cast("long").alias("n_lines"),
+        (F.size(own["l"]) - F.size(F.array_distinct(own["l"]))).cast("long").alias("n_dup_lines"),
+        e("aggregate(transform(_p, (p, j) -> least(3, coalesce(get(_p, j + 1) - p, 3))), 0L, (a, x) -> a + x)")
          .alias("n_repeat_words"))
 
 
@@ -150,13 +154,13 @@ def verdicts(scored: DataFrame, chosen: DataFrame, strata=STRATA, stratum_col: s
     """``scored`` with ``base_failed`` and ``kept``. ``chosen`` (from
     ``cutoffs``) has at most (strata + 1) * rules rows, a bound given by the
     parameters, so it is broadcast."""
-    wide = chosen.groupBy(F.col("stratum").alias("_stratum")).agg(*(
-        F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in rules))
-    over = reduce(lambda a, b: a | b, (F.coalesce(F.expr(s) > F.col(f"_cut_{r}"), F.lit(False))
-                                       for r, (s, _) in rules.items()))
-    d = scored.withColumn("_stratum", stratum(stratum_col, strata)).join(F.broadcast(wide), "_stratum", "left")
+    which, *names = unused(scored, "stratum", *(f"cut_{r}" for r in rules))
+    wide = chosen.groupBy(F.col("stratum").alias(which)).agg(*(
+        F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(n) for r, n in zip(rules, names)))
+    over = reduce(lambda a, b: a | b, (F.coalesce(F.expr(s) > F.col(n), F.lit(False)) for n, (s, _) in zip(names, rules.values())))
+    d = scored.withColumn(which, stratum(stratum_col, strata)).join(F.broadcast(wide), which, "left")
     d = d.withColumn("base_failed", base_failed())
-    return d.withColumn("kept", ~F.col("base_failed") & ~over).drop("_stratum", *(f"_cut_{r}" for r in rules))
+    return d.withColumn("kept", ~F.col("base_failed") & ~over).drop(which, *names)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegov.llm.staging import map_arrow, staged
+from lakegov.llm.staging import map_arrow, staged, unused
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -64,12 +64,14 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", na
     kept = [c for c in docs.columns if c not in (text, name)]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema), f"`{name}` long"])
 
+    own, = unused(docs, "body")
+
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(t.as_py() or "", shingle) for t in b["_text"]], np.uint64).view(np.int64)
+            fp = np.array([fingerprint(t.as_py() or "", shingle) for t in b[own]], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(b[c] for c in kept), pa.array(fp)], names=[*kept, name])
 
-    return map_arrow(docs.select(*kept, F.col(text).alias("_text")), run, schema)
+    return map_arrow(docs.select(*kept, F.col(text).alias(own)), run, schema)
 
 
 def hexadecimal(fp: Column) -> Column:
@@ -293,11 +295,12 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
     """``docs`` with one row per component: the smallest id (null last), then
     the smallest hash of the text; rows that repeat both are one. Rows are
     keyed by id and text hash, so no key is hot."""
-    keyed = docs.withColumns({"_null": F.col(id_col).isNull(), "_id": F.coalesce(F.col(id_col).cast("long"), F.lit(0)),
-                              "_hash": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
-    key = ["_null", "_id", "_hash"]
-    fps = staged(fingerprints(keyed.select(*key, text), shingle, text), "fingerprints")
-    named = classes(fps, max_bits, hot, "_id")
-    chosen = fps.join(named.select("fp", "root"), "fp").groupBy("root").agg(F.min(F.struct(*key)).alias("k"))
-    chosen = staged(chosen.select(*(F.col(f"k.{c}").alias(c) for c in key)), "representatives")
+    null, own, digest = key = unused(docs, "null", "id_", "digest")
+    keyed = docs.withColumns({null: F.col(id_col).isNull(), own: F.coalesce(F.col(id_col).cast("long"), F.lit(0)),
+                              digest: F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    rows = keyed.select(F.col(null).alias("null"), F.col(own).alias("own"), F.col(digest).alias("digest"), F.col(text).alias("t"))
+    fps = staged(fingerprints(rows, shingle, "t"), "fingerprints")
+    named = classes(fps, max_bits, hot, "own")
+    chosen = fps.join(named.select("fp", "root"), "fp").groupBy("root").agg(F.min(F.struct("null", "own", "digest")).alias("k"))
+    chosen = staged(chosen.select(F.col("k.null").alias(null), F.col("k.own").alias(own), F.col("k.digest").alias(digest)), "representatives")
     return keyed.join(chosen, key).dropDuplicates(key).select(*docs.columns)

@@ -3,7 +3,7 @@
 Every source gets a mean repetition rate ``rate = weight share * target mass /
 source mass`` (mass: characters). A document's number of copies is the inverse
 of the Poisson distribution function with that mean at a uniform number hashed
-from the seed and its id, so it is the same on every run and on every cluster
+from the seed, its id and its text, so it is the same on every run and on every cluster
 size, and needs no coordination between tasks. Documents are exploded by
 their count and dealt out globally in the order of a second hash, which is a key of the result.
 
@@ -19,9 +19,10 @@ spread over the tasks before they become rows.
 
 Defined cases: a null or unlisted source belongs to the stratum ``other``,
 which shares the weight named "*" (without one, its documents keep the rate
-1); a null text has no mass; a null id hashes as an empty string; repeated
-rows are drawn alike; a stratum without mass has rate 0; an empty table gives
-no rows. Columns named like the added ones are replaced.
+1); a null text has no mass; rows that repeat an id are drawn by id and text,
+rows without an id by text and row number, each for itself (rows that repeat
+both id and text are drawn alike); a stratum without mass has rate 0; an empty
+table gives no rows. Columns named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegov.llm.staging import unit_hash
+from lakegov.llm.staging import unit_hash, unused
 
 SEED = "mix-17"
 OTHER = "*"
@@ -76,6 +77,13 @@ def steps(rate: float) -> list[float]:
     return out
 
 
+def identity(id_col: str = "doc_id", text: str = "text") -> Column:
+    """What a row is drawn by, as text: its id and the MD5 of its text; without an id
+    also its row number, which follows from the place in the input's files."""
+    row = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id().cast("string")).otherwise(F.lit(""))
+    return F.concat_ws("/", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit(""))), row)
+
+
 def copies(seed: str, doc: Column, which: Column, by_stratum: dict[str, float]) -> Column:
     """Number of copies: how many steps of the stratum's distribution function
     lie at or below the document's hash; summed over parts for a mean above ``PART``."""
@@ -107,9 +115,11 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, target_mass: f
     base = docs.drop("copy_no", "n_copies", "mix_key")
     by = rates(base, weights, target_mass, column, text)
     which, zero = stratum(weights, column), F.lit(0).cast("long")
+    own, = unused(base, "drawn_by")
+    base = base.withColumn(own, identity(id_col, text))
 
     def drawn(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("n_copies", copies(seed, F.col(id_col), which, by)).filter("n_copies > 0")
+        return rows.withColumn("n_copies", copies(seed, F.col(own), which, by)).filter("n_copies > 0")
 
     large = [k for k, rate in by.items() if rate > PART]
     usual = drawn(base.filter(~which.isin(*large)) if large else base)
@@ -120,5 +130,5 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, target_mass: f
                 .repartition(F.rand(17)))
         end = F.least(F.col("copy_no") + RUN, "n_copies") - 1
         out = out.unionByName(runs.withColumn("copy_no", F.explode(F.sequence("copy_no", end))))
-    out = out.withColumn("mix_key", unit_hash(f"{seed}-order", F.col(id_col), F.col("copy_no")))
+    out = out.withColumn("mix_key", unit_hash(f"{seed}-order", F.col(own), F.col("copy_no"))).drop(own)
     return out.repartition("mix_key").sortWithinPartitions("mix_key", "copy_no")

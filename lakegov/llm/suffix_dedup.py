@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegov.llm import textnum as X
-from lakegov.llm.staging import drop_staged, map_arrow, staged
+from lakegov.llm.staging import drop_staged, map_arrow, staged, unused
 
 SPAN = 200
 GRAM = 32
@@ -375,10 +375,12 @@ def _merged(check: int, runs) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
-def _with_runs(docs: DataFrame, runs: DataFrame, columns: list[str], text: str) -> DataFrame:
-    t = _text(text)
-    d = docs.select(*columns, F.col(text).alias("_text"), F.xxhash64(t).alias("_d"), _check(t).alias("_c"))
-    return d.join(runs.select(F.col("d").alias("_d"), F.col("runs").alias("_runs")), "_d", "left").drop("_d")
+def _with_runs(docs: DataFrame, runs: DataFrame, columns: list[str], text: str) -> tuple[DataFrame, list[str]]:
+    """The columns beside (text, its check, its runs) under the names that are returned."""
+    t, names = _text(text), unused(docs, "body", "check", "found", "digest")
+    body, check, found, digest = names
+    d = docs.select(*columns, F.col(text).alias(body), F.xxhash64(t).alias(digest), _check(t).alias(check))
+    return d.join(runs.select(F.col("d").alias(digest), F.col("runs").alias(found)), digest, "left").drop(digest), names
 
 
 def report(docs: DataFrame, runs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -386,7 +388,7 @@ def report(docs: DataFrame, runs: DataFrame, id_col: str = "doc_id", text: str =
     def run(batches):
         for b in batches:
             out = []
-            for t, check, found in zip(b["_text"], b["_c"].to_pylist(), b["_runs"].to_pylist()):
+            for t, check, found in zip(b[names[0]], b[names[1]].to_pylist(), b[names[2]].to_pylist()):
                 raw = (t.as_py() or "").encode()
                 a, e = _merged(check, found)
                 kept = b"".join(raw[x:y] for x, y in zip([0, *e], [*a, len(raw)]))
@@ -396,7 +398,8 @@ def report(docs: DataFrame, runs: DataFrame, id_col: str = "doc_id", text: str =
                                              names=[id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     d = docs.select(F.col(id_col).cast("long").alias(id_col), text)
-    return map_arrow(_with_runs(d, runs, [id_col], text), run,
+    rows, names = _with_runs(d, runs, [id_col], text)
+    return map_arrow(rows, run,
                      f"{id_col} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -413,7 +416,7 @@ def cut(docs: DataFrame, span: int = SPAN, hot: int = HOT, text: str = "text", l
     def run(batches):
         for b in batches:
             out = []
-            for t, check, found in zip(b["_text"], b["_c"].to_pylist(), b["_runs"].to_pylist()):
+            for t, check, found in zip(b[names[0]], b[names[1]].to_pylist(), b[names[2]].to_pylist()):
                 t = t.as_py()
                 if t is not None:
                     raw = t.encode()
@@ -423,7 +426,8 @@ def cut(docs: DataFrame, span: int = SPAN, hot: int = HOT, text: str = "text", l
             yield pa.RecordBatch.from_arrays([*(b[c] for c in columns), pa.array(out, pa.string())], names=[*columns, text])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{text}` string"])
-    done = map_arrow(_with_runs(docs, repeated_runs(docs, span, hot, text), columns, text), run, schema)
+    rows, names = _with_runs(docs, repeated_runs(docs, span, hot, text), columns, text)
+    done = map_arrow(rows, run, schema)
     if length in docs.columns:
         done = done.withColumn(length, F.when(F.col(text).isNotNull(), F.char_length(text)).cast(docs.schema[length].dataType))
     return done.select(*docs.columns)

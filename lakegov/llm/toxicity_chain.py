@@ -19,7 +19,8 @@ narrower ones are read off labelled toxic texts by seed words (insulting
 nouns, contemptuous adjectives) and stand before it in the chain.
 
 Defined cases: null and word-less texts have no features (the intercepts
-decide); null ids are never labelled but scored; repeated rows score alike; a
+decide); null ids are never labelled but scored; repeated rows score alike, and
+of the texts of a repeated id the one with the smallest hash is learned from; a
 category with only one class in the sample gets that class's smoothed rate, and
 without any labels all probabilities are 0; an empty table gives no rows; other columns are not read.
 """
@@ -48,13 +49,18 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def category_labels() -> dict[str, Column]:
-    """Chain order of the registered query; columns over ``toxic`` and ``text``."""
-    has = lambda words: F.lower("text").rlike(rf"\b({words})\b")
+#: Seed words of the registered query's narrower categories, in chain order.
+SEED_WORDS = {"insult": "idiot|moron|clown|scum|trash|loser", "contempt": "stupid|pathetic|worthless|disgusting"}
+
+
+def category_labels(seed_words: dict[str, str] | None = None) -> dict[str, Column]:
+    """Chain order; columns over ``toxic`` and ``text``. ``seed_words`` (name ->
+    words) makes the narrower categories out of the one label; with {} the chain
+    is that label alone. Callers with labels of their own pass their own columns to ``fit``."""
     toxic = F.col("toxic") == 1
-    return {"insult": toxic & has("idiot|moron|clown|scum|trash|loser"),
-            "contempt": toxic & has("stupid|pathetic|worthless|disgusting"),
-            "toxic": toxic}
+    has = lambda words: F.lower("text").rlike(rf"\b({words})\b")
+    words = SEED_WORDS if seed_words is None else seed_words
+    return {name: toxic & has(w) for name, w in words.items()} | {"toxic": toxic}
 
 
 def document_features(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +140,9 @@ def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id
            .unionByName(one.filter("toxic = 0").orderBy(*order).limit(MAX_CLEAN)))
     ids = staged(ids, "toxicity-sample")   # at most MAX_TOXIC + MAX_CLEAN ids
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("text")).join(F.broadcast(ids), "_id")
-    # one text per id
+    # one text per id, whatever the partitioning: the one with the smallest hash
+    one_text = F.min(F.struct(F.xxhash64(F.coalesce("text", F.lit(""))), "text"))
+    rows = rows.groupBy("_id", "toxic").agg(one_text.alias("t")).select("_id", "toxic", "t.text")
     names = list(categories)
     rows = rows.select("_id", "text", *(c.cast("int").alias(k) for k, c in categories.items()))
 
@@ -151,7 +159,7 @@ def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id
                                              names=["_id", *names, "buckets"])
 
     schema = ", ".join(["_id long", *(f"`{k}` int" for k in names), "buckets array<int>"])
-    return staged(map_arrow(rows, run, schema).dropDuplicates(["_id"]), "toxicity-features")
+    return staged(map_arrow(rows, run, schema), "toxicity-features")
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column] | None = None, id_col: str = "doc_id",
