@@ -84,6 +84,35 @@ SELECT
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
+def write_mixed_months(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """The raw trips as three deliveries whose column types differ, in one
+    prefix: by pickup month mod 3, (0) ids bigint, counts text, times as they
+    are, (1) ids double, counts bigint, times text of which some are no time and
+    some are absent, (2) ids int, distances text."""
+    t = raw_trips(spark, sf_dir)
+    part = F.month("tpep_pickup_datetime") % 3
+    cents = F.floor(F.col("total_amount") * 100)
+    ids = ("VendorID", "RatecodeID", "PULocationID", "DOLocationID")
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    t.filter(part == 0).write.mode("append").parquet(base)
+    t.filter(part == 1).withColumns({
+        **{c: F.col(c).cast("double") for c in ids}, "passenger_count": F.col("passenger_count").try_cast("bigint"),
+        "tpep_pickup_datetime": F.when(cents % 71 == 0, F.lit("no time")).otherwise(stamp("tpep_pickup_datetime")),
+        "tpep_dropoff_datetime": F.when(cents % 73 == 0, F.lit(None).cast("string")).otherwise(stamp("tpep_dropoff_datetime")),
+    }).write.mode("append").parquet(base)
+    t.filter(part == 2).withColumns({**{c: F.col(c).cast("int") for c in ids}, "trip_distance": F.col("trip_distance").cast("string")}
+                                    ).write.mode("append").parquet(base)
+
+
+MIXED_TRIPS_SQL = """
+SELECT * REPLACE (
+  CASE WHEN month(tpep_pickup_datetime) % 3 = 1 AND CAST(floor(total_amount * 100) AS BIGINT) % 71 = 0 THEN NULL
+       ELSE tpep_pickup_datetime END AS tpep_pickup_datetime,
+  CASE WHEN month(tpep_pickup_datetime) % 3 = 1 AND CAST(floor(total_amount * 100) AS BIGINT) % 73 = 0 THEN NULL
+       ELSE tpep_dropoff_datetime END AS tpep_dropoff_datetime)
+FROM all_trips
+"""
+
 # typed + reasoned trips in SQL (the oracle form of B4/B5/B10)
 REASONED_TRIPS_SQL = """
 SELECT t.*,

@@ -50,8 +50,7 @@ def validated(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """The validation job's output, stored once: stamped rows split into the
     validated and quarantine folders in one pass (B11 + A5), then read back
     as (good rows, quarantined rows with bad_reason)."""
-    def build():
-        base = work_dir(spark, "validated")
+    def build(base: str):
         stamped = quality.stamp(reasoned_trips(spark, sf), run_id=RUN_ID, ingested_at_utc=INGESTED_AT)
         LAYER_BUILDS["validated"] = stamped
         good, bad = lake.write_split(stamped, f"{base}/validated", f"{base}/quarantine", RUN_ID)
@@ -63,20 +62,30 @@ def good_trips(spark: SparkSession, sf: str) -> DataFrame:
     return validated(spark, sf)[0]
 
 
-_MEMO: dict = {}
+#: (layer, session, application, input folder) -> (state of the tables it follows from, value, its folder)
+_MEMO: dict[tuple, tuple] = {}
+#: Tables that the governed layers follow from; other tables of the folder may change freely.
+GOVERNED_TABLES = ("region", "nation", "supplier", "part", "orders", "lineitem", "customer", "events")
 
 
 def _memo(kind: str, spark: SparkSession, sf: str, build):
-    """Layers built once per session and state of the input folder (paths,
-    sizes and times of its files): changed input builds them anew."""
+    """Layers built once per session and state of the governed tables: changed
+    input builds a layer anew, and the folder of the one it replaces goes.
+    ``build`` gets the folder that the layer may write to."""
     try:
         app = spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001 - sessions without a local context
         app = None
-    k = (kind, id(spark), app, sf, lake.file_state(spark, sf))
-    if k not in _MEMO:
-        _MEMO[k] = build()
-    return _MEMO[k]
+    k = (kind, id(spark), app, sf)
+    state = tuple(lake.file_state(spark, f"{sf}/{t}.parquet") for t in GOVERNED_TABLES)
+    known = _MEMO.get(k)
+    if known is None or known[0] != state:
+        base = work_dir(spark, kind)
+        value = build(base)
+        if known is not None:
+            lake.remove(spark, known[2])
+        _MEMO[k] = known = (state, value, base)
+    return known[1]
 
 
 def persisted(kind: str, spark: SparkSession, sf: str, build) -> DataFrame:
@@ -86,8 +95,8 @@ def persisted(kind: str, spark: SparkSession, sf: str, build) -> DataFrame:
     stored table, as the reference's warehouse SQL, stewardship steps and
     golden views read its tables, and the lineage behind it is cut, so a lost
     executor never re-runs the upstream joins."""
-    def write_and_read() -> DataFrame:
-        path = f"{work_dir(spark, kind)}/table"
+    def write_and_read(base: str) -> DataFrame:
+        path = f"{base}/table"
         df = build()
         LAYER_BUILDS[kind] = df  # for the plan report
         df.write.mode("overwrite").parquet(path)
@@ -99,7 +108,7 @@ LAYER_BUILDS: dict[str, DataFrame] = {}
 
 
 def zones(spark: SparkSession, sf: str) -> DataFrame:
-    return _memo("zones", spark, sf, lambda: quality.canonical_zone(B.zone_master(spark, sf)))
+    return _memo("zones", spark, sf, lambda _: quality.canonical_zone(B.zone_master(spark, sf)))
 
 
 def curated_trips(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,7 +117,7 @@ def curated_trips(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return _memo("dims", spark, sf, lambda: {
+    return _memo("dims", spark, sf, lambda _: {
         "vendor_dim": star.build_vendor_dim(seeds.seed(spark, "vendor")),
         "ratecode_dim": star.build_ratecode_dim(seeds.seed(spark, "rate_code")),
         "payment_dim": star.build_payment_dim(seeds.seed(spark, "payment_type")),
@@ -206,6 +215,33 @@ def q_validation_counts(spark, sf):
     return quality.counts(good.select(F.lit("").alias("bad_reason")).unionByName(bad.select("bad_reason")))
 
 
+def mixed_months(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 over deliveries whose column types differ, then B4 + B5 + B10."""
+    def build(base: str) -> DataFrame:
+        B.write_mixed_months(spark, sf, f"{base}/raw")
+        return quality.validate_trips(lake.read_raw(spark, f"{base}/raw"))
+    return _memo("mixed-months", spark, sf, build)
+
+
+MIXED_CTES = [("all_trips", B.RAW_TRIPS_SQL), ("raw_trips", B.MIXED_TRIPS_SQL), ("reasoned", B.REASONED_TRIPS_SQL)]
+
+
+@register("mixed_months_good", _sql("SELECT * EXCLUDE (bad_reason) FROM reasoned WHERE bad_reason = ''", MIXED_CTES))
+def q_mixed_months_good(spark, sf):
+    """Months of bigint, double, int and text columns and text times become typed rows."""
+    good = mixed_months(spark, sf).filter("bad_reason = ''").drop("bad_reason")
+    return good.withColumns({c: F.col(c).cast("timestamp_ntz") for c in quality.TRIP_TIMESTAMPS})
+
+
+@register("mixed_months_reasons", _sql(
+    "SELECT code, COUNT(*) AS n FROM (SELECT UNNEST(string_split(bad_reason, '|')) AS code FROM reasoned WHERE bad_reason <> '') GROUP BY code",
+    MIXED_CTES))
+def q_mixed_months_reasons(spark, sf):
+    """B10a–g: rows per reason code; text and absent times give all eight."""
+    codes = F.explode(F.split("bad_reason", r"\|"))
+    return mixed_months(spark, sf).filter("bad_reason <> ''").select(codes.alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ==========================================================================
 # Enrichment, coverage, metric export, gate
 # ==========================================================================

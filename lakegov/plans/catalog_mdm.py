@@ -168,6 +168,27 @@ def q_record_status(spark, sf):
     return staged(spark, sf, B.BATCH_1)
 
 
+REVIEW_SQL = f"""
+SELECT '{B.BATCH_1}' AS batch_id, CAST(m._id AS INTEGER) AS location_id, m.borough AS block, m.zone AS name,
+  CAST(q.partner_id AS INTEGER) AS best_partner_id, q.partner_name, q.score
+FROM b1_mem m JOIN (
+  SELECT *, row_number() OVER (PARTITION BY _block, _name ORDER BY score DESC, best_len DESC, partner_id) AS place FROM (
+    SELECT p._block, p.name_1 AS _name, p.name_2 AS partner_name, p.score, g._best_id AS partner_id, g._best_len AS best_len
+    FROM b1_pairs p JOIN b1_grp g ON g._block = p._block AND g._name = p.name_2
+    WHERE p.name_1 <> p.name_2 AND p.score >= {B.PART_STEWARD} AND p.score < {B.PART_AUTO}
+    UNION ALL
+    SELECT p._block, p.name_2, p.name_1, p.score, g._best_id, g._best_len
+    FROM b1_pairs p JOIN b1_grp g ON g._block = p._block AND g._name = p.name_1
+    WHERE p.name_1 <> p.name_2 AND p.score >= {B.PART_STEWARD} AND p.score < {B.PART_AUTO})) q
+ON q._block = m._block AND q._name = m._name AND q.place = 1"""
+
+
+@register("review_queue", with_ctes(M1, REVIEW_SQL))
+def q_review_queue(spark, sf):
+    """H3/H4: every record under review with its best partner."""
+    return matching.review_queue(records(spark, sf, B.BATCH_1), KEY, NAME, BLOCK, B.PART_AUTO, B.PART_STEWARD, B.BATCH_1)
+
+
 DECISIONS_SQL = """
 SELECT batch_id, location_id,
   CASE WHEN location_id % 3 = 0 THEN 'REJECTED' ELSE 'APPROVED' END AS decision,

@@ -7,7 +7,6 @@ folder of our own when that setting is absent (local runs and tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,7 +78,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Local / test sessions only: a cluster always sets spark.checkpoint.dir.
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lakegov-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():
@@ -91,6 +92,6 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for staged tables."""
     path = f"{checkpoint_root(spark)}/lakegov/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path

@@ -17,8 +17,79 @@ from pyspark.sql import types as T
 
 # A1 --------------------------------------------------------------------------
 def read_raw(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
-    """Whole raw prefix; monthly files may differ in columns, so merge schemas."""
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    """Whole raw prefix; monthly files may differ in columns and in the types of
+    a column. Files that merge are one scan, as always. Where types differ, the
+    files are grouped by type: every group is one scan whose columns are cast
+    to a type that holds all months, and the scans are united. A column that is
+    missing from a month is null there."""
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    try:
+        return reader.parquet(path)
+    except Exception as e:
+        if not (merge_schema and _cannot_merge(e)):
+            raise
+    files = sorted(r.path for r in list_files(spark, path).filter(F.col("path").endswith(".parquet")).select("path").toLocalIterator())
+    groups = schema_groups(spark, files)
+    target = common_types([schema for schema, _ in groups])
+    out = None
+    for schema, members in groups:
+        own = {f.name.lower(): f.name for f in schema.fields}
+        scan = spark.read.schema(schema).parquet(*members).select(*[
+            (F.col(f"`{own[n.lower()]}`").cast(t) if n.lower() in own else F.lit(None).cast(t)).alias(n) for n, t in target.items()])
+        out = scan if out is None else out.unionByName(scan)
+    return out
+
+
+def _cannot_merge(error: Exception) -> bool:
+    said = str(error).upper()
+    return "CANNOT_MERGE" in said or "FAILED TO MERGE" in said or "FAILED MERGING" in said
+
+
+def schema_groups(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files whose schemas merge, with the merged schema. Spark merges the
+    footers of many files in one distributed job; where that fails the list is
+    halved, so m changes of type among n files in path order take about m log n
+    such jobs, not one per file. Groups of equal types become one."""
+    def merged(part: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+        try:
+            return [(spark.read.option("mergeSchema", "true").parquet(*part).schema, list(part))]
+        except Exception as e:
+            if len(part) == 1 or not _cannot_merge(e):
+                raise
+        half = len(part) // 2
+        return merged(part[:half]) + merged(part[half:])
+
+    out: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, part in merged(files):
+        key = schema.simpleString().lower()
+        out.setdefault(key, (schema, []))[1].extend(part)
+    return list(out.values())
+
+
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def common_types(schemas: Sequence[T.StructType]) -> dict[str, str]:
+    """{column: type that holds it in every schema}: the type itself where it is
+    the same, bigint for whole numbers, double for numbers, text for the rest
+    (typed later by ``cast_existing`` and ``parse_ts``)."""
+    kinds: dict[str, list[str]] = {}
+    names: dict[str, str] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            names.setdefault(f.name.lower(), f.name)
+            kinds.setdefault(f.name.lower(), []).append(f.dataType.simpleString())
+
+    def holds(found: set[str]) -> str:
+        if len(found) == 1:
+            return next(iter(found))
+        if found <= set(_WHOLE):
+            return "bigint"
+        if found <= {*_WHOLE, "float", "double"} or all(k in (*_WHOLE, "float", "double") or k.startswith("decimal") for k in found):
+            return "double"
+        return "string"
+
+    return {names[n]: holds(set(k)) for n, k in kinds.items()}
 
 
 # A2 --------------------------------------------------------------------------
@@ -112,15 +183,19 @@ def is_folder(spark: SparkSession, path: str) -> bool:
 
 
 def file_state(spark: SparkSession, path: str) -> tuple:
-    """(path, bytes, modification time) of every file below ``path``, none
-    where it does not exist: changes when its data do."""
-    if not _fs(spark, path).exists(_path(spark, path)):
+    """(bytes, files, newest time of the folder itself) below ``path``, none where
+    it does not exist: changes when its data do. Two calls whatever the number
+    of files: the file system sums the folder up itself."""
+    fs, p = _fs(spark, path), _path(spark, path)
+    if not fs.exists(p):
         return ()
-    files, out = _fs(spark, path).listFiles(_path(spark, path), True), []
-    while files.hasNext():
-        f = files.next()
-        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
-    return tuple(sorted(out))
+    summed = fs.getContentSummary(p)
+    return (summed.getLength(), summed.getFileCount(), fs.getFileStatus(p).getModificationTime())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a later one has replaced (nothing to do where it is gone)."""
+    _fs(spark, path).delete(_path(spark, path), True)
 
 
 # A6 --------------------------------------------------------------------------

@@ -137,3 +137,53 @@ def test_pending_status_and_decisions(spark):
     out = {r.location_id: r for r in M.apply_decisions(st_, dec, "location_id", ("zone",)).collect()}
     assert out[min(want_pending)].status == "REJECTED"
     assert out[56].status == "APPROVED" and out[56].zone == "Corona"   # invalid decision ignored
+
+
+@pytest.mark.parametrize("auto_t,stew_t,heavy", [(100, 95, 14), (95, 70, 12)])
+def test_heavy_signatures_lose_no_pair(spark, auto_t, stew_t, heavy):
+    """Signatures shared by more than ``heavy`` names are cut further and joined in cells."""
+    rnd = random.Random(11)
+    words = ["north", "south", "park", "hill", "yard"]
+    recs = [(i, "A", f"building number {rnd.choice(words)} {rnd.randint(0, 40)}") for i in range(1, 90)] + [(200, "B", "alone")]
+    df = spark.createDataFrame(recs, "location_id int, borough string, zone string")
+    m = M.match_records(df, "location_id", "zone", "borough", auto_t, stew_t, batch_id="b", heavy=heavy)
+    got = sorted((r.location_id_1, r.location_id_2, r.borough, r.zone_1, r.zone_2, r.score, r.action, r.recommended_golden_id)
+                 for r in M.expand_pairs(m, df, "location_id", "zone", "borough").collect())
+    assert got == brute(recs, auto_t, stew_t)
+
+
+def test_heavy_family_is_cut_to_small_groups(spark):
+    """600 names that differ in digits alone: the signatures that are joined hold few names."""
+    df = spark.range(600).selectExpr("cast(id AS int) AS location_id", "'b' AS borough", "format_string('BUILDING NUMBER %05d', id) AS zone")
+    groups = M.name_groups(M.normalize_members(df, "location_id", "zone", "borough")).checkpoint()
+    hits = M.name_hits(groups, 95, heavy=120)
+    pairs = {(min(r.r, r.s), max(r.r, r.s)) for r in hits.collect()}
+    # one edit: the same name but for one digit
+    names = [f"BUILDING NUMBER {i:05d}" for i in range(600)]
+    want = {(a, b) for i, a in enumerate(names) for b in names[i + 1:] if sum(x != y for x, y in zip(a, b)) == 1}
+    assert want <= pairs
+    assert all(lev(a, b) <= 1 for a, b in list(pairs)[:200])
+
+
+@pytest.mark.parametrize("auto_t,stew_t", [(89, 80), (100, 60), (101, 70)])
+def test_review_queue_gives_the_best_partner(spark, auto_t, stew_t):
+    rnd = random.Random(3)
+    words = ["north", "south", "east", "west", "park", "hill"]
+    recs = ZONES + [(i, "Z", " ".join(rnd.sample(words, 2)) + rnd.choice(["", "s", " 2"])) for i in range(300, 340)]
+    df = spark.createDataFrame(recs, "location_id int, borough string, zone string")
+    got = {r.location_id: (r.best_partner_id, r.score) for r in
+           M.review_queue(df, "location_id", "zone", "borough", auto_t, stew_t, "b").collect()}
+    raw = {i: z for i, _, z in recs}
+    best = {}
+    for a, b, _, _, _, score, act, _ in brute(recs, auto_t, stew_t):
+        if act == "STEWARD_REVIEW":
+            for me, other in ((a, b), (b, a)):
+                best.setdefault(me, []).append((score, other))
+    assert set(got) == set(best)
+    names = {i: (norm(b, False), norm(z, True)) for i, b, z in recs}
+    for me, options in best.items():
+        top = max(s for s, _ in options)
+        assert got[me][1] == top
+        assert got[me][0] in {o for s, o in options if s == top}
+        same = [o for s, o in options if s == top and names[o] == names[got[me][0]] and o != me]
+        assert got[me][0] == min(same, key=lambda o: (-len(raw[o]), o))
