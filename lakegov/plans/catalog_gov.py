@@ -197,14 +197,21 @@ def q_replace_batch(spark, sf):
     lake.replace_batch(r1.unionByName(r2), target)
     rerun = r1.filter(F.col("location_id") % 2 == 0).withColumn("zone", F.upper("zone"))
     lake.replace_batch(rerun, target)
-    return spark.read.parquet(target).select("location_id", "borough", "zone", "service_zone", "batch_id")
+    return lake.read_batches(spark, target, r1.schema).select("location_id", "borough", "zone", "service_zone", "batch_id")
 
 
-@register("latest_version")
+@register("latest_version", """
+SELECT p_partkey, p_name, p_retailprice, 'v3' AS written_as FROM part WHERE p_partkey % 3 <> 0""")
 def q_latest_version(spark, sf):
-    """A4: the folder of the newest file under the data folder, from a
-    distributed listing (no file contents read). Rows-only check."""
-    return lake.latest_version(spark, sf)
+    """A4 + A5: of three written versions and a newer one that was cut short,
+    the rows of the newest complete one."""
+    base = f"{work_dir(spark, 'versions')}/parts"
+    part = B.table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
+    for i, version in enumerate(("v2", "v1", "v3")):
+        rows = part.filter((F.col("p_partkey") % 3 != 0) if version == "v3" else (F.col("p_partkey") % 3 == i))
+        lake.write_version(rows.withColumn("written_as", F.lit(version)), base, version)
+    lake.write_run(part.withColumn("written_as", F.lit("v9")), base, "v9", "version")     # no marker
+    return lake.read_latest(spark, base)
 
 
 @register("file_freshness")

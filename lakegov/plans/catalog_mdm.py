@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegov.operators import matching, quality, scd, survivorship
+from lakegov.operators import golden_store, matching, quality, scd, survivorship
 from lakegov.plans import binding as B
 from lakegov.plans import catalog
 from lakegov.plans.catalog import register, with_ctes
@@ -287,6 +287,16 @@ def q_scd2_publish(spark, sf):
     return golden_v2(spark, sf).drop("golden_sk")
 
 
+@register("golden_store_publish", with_ctes(GOLDEN_CTES, "SELECT * FROM g2"))
+def q_golden_store_publish(spark, sf):
+    """C5, C6 incrementally: both batches published into a bucketed store; history is not read."""
+    def build(base: str) -> DataFrame:
+        for batch, at in ((B.BATCH_1, T1), (B.BATCH_2, T2)):
+            golden_store.publish(spark, f"{base}/golden", staged(spark, sf, batch), batch, KEY, ATTRS, at, buckets=8)
+        return golden_store.golden(spark, f"{base}/golden", KEY, ATTRS)
+    return catalog._memo("golden-store", spark, sf, build).drop("golden_sk")
+
+
 @register("golden_current", with_ctes(GOLDEN_CTES, """
 SELECT location_id, borough, zone, service_zone, effective_from, effective_to, is_current, source_batch_id
 FROM g2 WHERE is_current"""))

@@ -107,6 +107,7 @@ def validate_raw(spark: SparkSession, layout: Layout, run_id: str, ingested_at:
                              run_id=run_id, ingested_at_utc=ingested_at)
     obs = Observation("validate")
     good, bad = lake.write_split(reasoned, layout.validated, layout.quarantine, run_id, obs)
+    lake.commit(spark, layout.validated, run_id)
     m = obs.get
     return {"validated_path": good, "quarantine_path": bad, "good_rows": m["good_rows"], "bad_rows": m["bad_rows"]}
 
@@ -180,14 +181,21 @@ def run_trips_pipeline(spark: SparkSession, layout: Layout, run_id: str, quality
 def released_curated(spark: SparkSession, layout: Layout) -> DataFrame:
     """Consumer view: curated rows of released runs only (partition pruning on
     run_id; runs that failed a gate stay invisible)."""
-    cur = spark.read.parquet(layout.curated)
-    ok = spark.read.parquet(layout.released).select("run_id").distinct()
-    return cur.join(F.broadcast(ok) if enrich.is_bounded(ok) else ok, "run_id", "left_semi")
+    # one row per release, as literals: only a literal list prunes run folders
+    ok = [r["run_id"] for r in spark.read.parquet(layout.released).select("run_id").distinct().collect()]
+    cur = lake.read_batches(spark, layout.curated, spark.read.parquet(layout.curated).schema, "run_id")
+    return cur.filter(F.col("run_id").isin(*ok) if ok else F.lit(False))
 
 
 # ----------------------------------------------------------------------------
 # master data
 # ----------------------------------------------------------------------------
+def _records(spark: SparkSession, layout: Layout, batch_id: str) -> DataFrame:
+    """One batch's records; batch ids are read as the text they were written as."""
+    schema = spark.read.parquet(layout.records).schema
+    return lake.read_batches(spark, layout.records, schema).filter(F.col("batch_id") == batch_id)
+
+
 REQUIRED = ["locationid", "borough", "zone", "service_zone"]
 ATTRS = ("borough", "zone", "service_zone")
 
@@ -210,8 +218,7 @@ def run_mdm_ingest(spark: SparkSession, layout: Layout, csv_path: str, batch_id:
     recs = recs.withColumns({"created_at": now, "updated_at": now})
     lake.replace_batch(recs, layout.records)
     lake.replace_batch(m.withColumn("created_at", now), layout.matches)
-    st = spark.read.parquet(layout.records).filter(F.col("batch_id") == batch_id) \
-        .groupBy("status").count().collect()
+    st = _records(spark, layout, batch_id).groupBy("status").count().collect()
     return {"batch_id": batch_id, "status_counts": {r["status"]: r["count"] for r in st}}
 
 
@@ -219,13 +226,13 @@ def apply_steward_decisions(spark: SparkSession, layout: Layout, batch_id: str,
     """H6 on the record table: decisions (batch_id, location_id, decision,
     optional corrected attributes) update one batch, written back by batch
     replace (the batch is staged first: never overwrite a path being read)."""
-    recs = spark.read.parquet(layout.records).filter(F.col("batch_id") == batch_id)
+    recs = _records(spark, layout, batch_id)
     out = matching.apply_decisions(recs, decisions, "location_id", ATTRS)
     out = out.withColumn("updated_at", F.lit(_now()).cast("timestamp_ntz"))
     stage = layout.p("mdm", "_staging", f"records_batch={batch_id}")
     out.write.mode("overwrite").parquet(stage)
-    lake.replace_batch(spark.read.parquet(stage).select(*spark.read.parquet(layout.records).columns), layout.records)
-    st = spark.read.parquet(layout.records).filter(F.col("batch_id") == batch_id).groupBy("status").count().collect()
+    lake.replace_batch(spark.read.parquet(stage).select(*recs.columns), layout.records)
+    st = _records(spark, layout, batch_id).groupBy("status").count().collect()
     return {r["status"]: r["count"] for r in st}
 
 
@@ -257,7 +264,7 @@ def publish_golden(spark: SparkSession, layout: Layout, batch_id: str, as_of: dt
     version number; re-publishing the same batch yields identical content."""
     versions = _versions(spark, layout.golden)
     g = current_golden(spark, layout)
-    recs = spark.read.parquet(layout.records).filter(F.col("batch_id") == batch_id)
+    recs = _records(spark, layout, batch_id)
     new = scd.scd2_publish(g, recs, batch_id, "location_id", ATTRS, as_of or _now())
     nv = (versions[-1] + 1) if versions else 1
     new.write.mode("overwrite").parquet(layout.p("mdm", "zone_golden", f"version={nv:06d}"))
@@ -271,6 +278,7 @@ def publish_snapshot(spark: SparkSession, layout: Layout, snapshot_id: str) -> s
                                  "Zone snapshot")
     out = layout.p("validated", "zone_snapshot", snapshot_id)
     scd.snapshot(g, snapshot_id, F.current_timestamp().cast("timestamp_ntz")).write.mode("overwrite").parquet(out)
+    lake.commit(spark, layout.snapshots, snapshot_id)
     return out
 
 

@@ -133,7 +133,60 @@ def latest_version(spark: SparkSession, base: str) -> DataFrame:
         "latest_file", "modified_at")
 
 
+def _commits_path(base: str) -> str:
+    return f"{base.rstrip('/')}__commits"
+
+
+def commit(spark: SparkSession, base: str, version: str, note: str = "{}") -> None:
+    """Mark one version of ``base`` as complete: a one-row file of its own next to
+    the table, written last. A version without a marker was cut short."""
+    row = spark.createDataFrame([(version, note)], "version string, note string").coalesce(1)
+    row.write.mode("overwrite").parquet(f"{_commits_path(base)}/commit={_safe(version)}")
+
+
+def _safe(version: str) -> str:
+    """The version as one folder name that partition discovery leaves as text."""
+    return "v-" + "".join(c if c.isalnum() or c in "-_." else f"%{ord(c):02X}" for c in version)
+
+
+def commits(spark: SparkSession, base: str) -> DataFrame:
+    """(version, note, committed_at) of every marker; no rows where nothing was committed."""
+    path, schema = _commits_path(base), "version string, note string, commit string"
+    if not file_state(spark, path):
+        return spark.createDataFrame([], "version string, note string, committed_at timestamp")
+    return spark.read.schema(schema).parquet(path).select("version", "note", F.col("_metadata.file_modification_time").alias("committed_at"))
+
+
+def write_version(df: DataFrame, base: str, version: str, key: str = "version") -> str:
+    """A whole version of a table in its folder, then its marker."""
+    out = write_run(df, base, version, key)
+    commit(df.sparkSession, base, version)
+    return out
+
+
+def latest_committed(spark: SparkSession, base: str) -> str | None:
+    """The newest complete version by the time of its marker (of equal times the
+    larger name), in one aggregate; runs that were cut short are passed over."""
+    newest = commits(spark, base).agg(F.max_by("version", F.struct("committed_at", "version")).alias("v")).first()
+    return newest["v"]
+
+
+def read_latest(spark: SparkSession, base: str, key: str = "version") -> DataFrame:
+    """Rows of the newest complete version."""
+    version = latest_committed(spark, base)
+    if version is None:
+        raise FileNotFoundError(f"{base} has no complete version")
+    return spark.read.parquet(f"{base.rstrip('/')}/{key}={version}")
+
+
 def resolve_latest(spark: SparkSession, base: str) -> str:
+    """Folder of the newest complete run; of a table without markers, that of its newest file."""
+    version = latest_committed(spark, base)
+    if version is not None:
+        for folder in (version, f"run_id={version}", f"version={version}"):
+            out = f"{base.rstrip('/')}/{folder}"
+            if _fs(spark, out).exists(_path(spark, out)):
+                return out + "/"
     row = latest_version(spark, base).first()
     if row is None or row.latest_file is None:
         raise FileNotFoundError(f"{base} holds no file")
@@ -207,6 +260,13 @@ def replace_batch(df: DataFrame, target: str, batch_col: str = "batch_id") -> No
      .partitionBy(batch_col).parquet(target))
 
 
+def read_batches(spark: SparkSession, target: str, schema: T.StructType, batch_col: str = "batch_id") -> DataFrame:
+    """A table of batch folders under the schema it was written with: batch ids
+    stay the text they were ('001' is not 1), so a batch is replaced, never doubled."""
+    fields = [f for f in schema.fields if f.name != batch_col]
+    return spark.read.schema(T.StructType([*fields, T.StructField(batch_col, T.StringType())])).parquet(target)
+
+
 # A7 --------------------------------------------------------------------------
 def write_metrics(metrics: DataFrame, path: str, run_id: str | None = None) -> None:
     """One-row metrics as JSON at a fixed path (overwritten each run); with a
