@@ -6,15 +6,20 @@ prefix ``i`` exactly if it may follow the last token of prefix ``i - len(t)``,
 that is if encoding the two together gives the two back; there is always
 exactly one such token. So one pass gives the exact count at *every* prefix,
 and truncation and budget questions are answered without encoding again:
-``prefix_counts`` stores the table, ``longest_prefix`` reads it.
+``prefix_counts`` stores the table, ``longest_prefix`` reads it. The registered
+counts come from the same table: the running counts of every space-separated
+chunk are stored once per worker, a text's counts are theirs one after the
+other, its total the last of them and its cut the place where they pass the limit.
 
 Pieces come from the vocabulary's splitting pattern. A prefix may end inside a
 piece; where cutting changes the pieces (white-space runs, contractions, a
 special token cut in two) the tail is taken from a run of its own, so counts
 are those of encoding the cut text.
 
-Texts are whole; a bounded memo of space-separated chunks makes repeated words
-cheap. Defined cases: a null text is empty (0 tokens); a special string inside
+Which code points are letters and numbers is asked of the library's own splitter
+wherever two Unicode versions on this machine disagree.
+
+Texts are whole; the stored chunks are bounded in number. Defined cases: a null text is empty (0 tokens); a special string inside
 a text counts as the library's default does (one token); null and repeated ids
 are kept as they are, one result row per input row; an empty table gives no
 rows; other columns are not read.
@@ -23,6 +28,8 @@ rows; other columns are not read.
 from __future__ import annotations
 
 import json
+import unicodedata
+from collections.abc import Sequence
 
 import pyarrow as pa
 import regex
@@ -45,6 +52,48 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _ranges(points: list[int]) -> str:
+    """A character class body of sorted code points."""
+    out: list[list[int]] = []
+    for c in points:
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in out)
+
+
+def splitting_pattern(path: str) -> str:
+    """``PIECES`` with the library's letters and numbers. Code points on which the
+    pattern engine and Python's own tables differ (they know different Unicode
+    versions) are handed to the library's splitter behind a letter and behind a
+    digit: what it leaves in one piece is of that kind."""
+    from tokenizers import Tokenizer
+
+    every = "".join(map(chr, (c for c in range(0x110000) if not 0xD800 <= c < 0xE000)))
+    pieces = PIECES
+    split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+    not_of: dict[str, str] = {}
+    for kind, head in (("L", "a"), ("N", "1")):
+        engine = set(regex.findall(rf"\p{{{kind}}}", every))
+        python = {c for c in every if unicodedata.category(c)[0] == kind}
+        doubtful = sorted(engine ^ python)
+        library = set()
+        for lo in range(0, len(doubtful), 4096):
+            part = doubtful[lo:lo + 4096]
+            asked = "".join(f" {head}{c}" for c in part)
+            whole = {at for _, at in split(asked)}
+            library |= {c for i, c in enumerate(part) if (3 * i, 3 * i + 3) in whole}
+        out = _ranges([ord(c) for c in sorted(set(doubtful) & engine - library)])
+        more = _ranges([ord(c) for c in sorted(library - engine)])
+        not_of[kind] = rf"[^\P{{{kind}}}{out}]" if not more else rf"(?:[^\P{{{kind}}}{out}]|[{more}])"
+        not_of[f"not {kind}"] = rf"[\P{{{kind}}}{out}]" if not more else rf"(?![{more}])[\P{{{kind}}}{out}]"
+    if not_of == {"L": r"[^\P{L}]", "not L": r"[\P{L}]", "N": r"[^\P{N}]", "not N": r"[\P{N}]"}:
+        return pieces
+    other = rf"(?:(?={not_of['not L']})(?={not_of['not N']})\S)"
+    return pieces.replace(r"[^\s\p{L}\p{N}]", other).replace(r"\p{L}", not_of["L"]).replace(r"\p{N}", not_of["N"])
+
+
 NEVER = 1 << 30
 
 
@@ -63,15 +112,15 @@ class PrefixCounter:
         self.made_of: dict[int, tuple[int, int, int]] = {}
         for r, (x, y) in enumerate(pairs):
             self.made_of.setdefault(self.vocab[x + y], (self.vocab[x], self.vocab[y], r))
-        self.pattern = regex.compile(PIECES)
+        self.pattern = regex.compile(splitting_pattern(path))
         self.white = frozenset(regex.findall(r"\s", "".join(map(chr, range(0xD800)))))
         self.odd_space = regex.compile(r"\s (?:\s|\Z)")
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.edges: dict[int, tuple[list, list]] = {}
         self.alone: dict[int, bool] = {}
         self.follows: dict[int, bool] = {}
-        self.young: dict[str, int] = {}
-        self.old: dict[str, int] = {}
+        self.young: dict[str, Sequence[int]] = {}
+        self.old: dict[str, Sequence[int]] = {}
 
     # -- the dynamic program ------------------------------------------------
     def edge(self, token: int) -> tuple[list, list]:
@@ -146,34 +195,40 @@ class PrefixCounter:
         return count
 
     # -- counts of whole texts ----------------------------------------------
-    def _count_chunk(self, chunk: str) -> int:
+    def _chunk_prefixes(self, chunk: str) -> Sequence[int]:
+        """Counts at every prefix of a chunk without white space behind its first character."""
         pieces = self.pattern.findall(chunk)
         if len(pieces) == 1:
-            return self.piece_counts(chunk.encode())[-1]
-        return sum(self._remember(p[1:]) if p[0] == " " and len(p) > 1 else self.piece_counts(p.encode())[-1] for p in pieces)
-
-    def _chunks(self, text: str) -> list[int] | None:
-        """Counts of the space-separated chunks: a space that something else
-        than white space follows always begins a piece. None where runs of
-        white space make that wrong."""
+            out = self._plain_prefixes(chunk)
+        elif pieces[0][0] == " " and len(pieces[0]) > 1:
+            head = self._remember(pieces[0][1:])
+            out = [*head, *(head[-1] + c for c in self._plain_prefixes(chunk[len(pieces[0]):])[1:])]
+        else:
+            out = self._plain_prefixes(chunk)
+        return bytes(out) if out[-1] < 256 else out
+
+    def _chunks(self, text: str) -> list[Sequence[int]] | None:
+        """Prefix counts of the space-separated chunks, the space before a chunk
+        belonging to it: a space that something else than white space follows
+        always begins a piece. None where runs of white space make that wrong."""
         if self.odd_space.search(text):
             return None
         head, *rest = text.split(" ")
-        counts = list(map(self.young.get, rest))
-        if None in counts:
-            for i, c in enumerate(counts):
+        stored = list(map(self.young.get, rest))
+        if None in stored:
+            for i, c in enumerate(stored):
                 if c is None:
-                    counts[i] = self._remember(rest[i])
-        return [self._count_chunk(head), *counts]
+                    stored[i] = self._remember(rest[i])
+        return [self._plain_prefixes(head), *stored]
 
-    def _remember(self, chunk: str) -> int:
-        """Count of a chunk behind a space, through a memo of two generations:
+    def _remember(self, chunk: str) -> Sequence[int]:
+        """Prefix counts of a chunk behind a space, from the store of two generations:
         what was not asked for during the last one goes."""
         c = self.young.get(chunk)
         if c is None:
             c = self.old.get(chunk)
             if c is None:
-                c = self._count_chunk(" " + chunk)
+                c = self._chunk_prefixes(" " + chunk)
             if len(chunk) <= MEMO_CHARS:
                 if len(self.young) >= MEMO_ENTRIES:
                     self.old, self.young = self.young, {}
@@ -181,10 +236,7 @@ class PrefixCounter:
         return c
 
     def count(self, text: str) -> int:
-        if self.cut and (found := self.cut.findall(text)):
-            return len(found) + sum(map(self.count, self.cut.split(text)))
-        counts = self._chunks(text)
-        return self._count_chunk(text) if counts is None else sum(counts)
+        return self.count_and_fit(text, 0)[0]
 
     def _plain_prefixes(self, text: str) -> list[int]:
         """Counts at every prefix of a text without special strings, by code point."""
@@ -221,22 +273,27 @@ class PrefixCounter:
         return out + [base + c for c in self._plain_prefixes(text[at:])[1:]]
 
     def count_and_fit(self, text: str, limit: int) -> tuple[int, int]:
-        """(tokens, code points of the longest prefix of at most ``limit`` tokens)."""
-        counts = None if self.cut and self.cut.search(text) else self._chunks(text)
-        if counts is None:
-            n = self.count(text)
-            return n, len(text) if n <= limit else max(i for i, c in enumerate(self.prefixes(text)) if c <= limit)
-        n = sum(counts)
+        """(tokens, code points of the longest prefix of at most ``limit`` tokens),
+        both read from the prefix counts of one pass."""
+        chunks = None if self.cut and self.cut.search(text) else self._chunks(text)
+        if chunks is None:
+            every = self.prefixes(text)
+            n = every[-1]
+            return n, len(text) if n <= limit else max(i for i, c in enumerate(every) if c <= limit)
+        n = sum([c[-1] for c in chunks])
         if n <= limit:
             return n, len(text)
-        base = k = 0
-        while base + counts[k] < limit:
-            base += counts[k]
-            k += 1
-        head = text.split(" ", k + 4)
-        before = sum(map(len, head[:k])) + k - 1 if k else 0
-        part = (" " if k else "") + " ".join(head[k:k + 4])
-        return n, before + max(i for i, c in enumerate(self.prefixes(part)) if base + c <= limit)
+        base = at = fit = 0
+        for chunk in chunks:
+            # a cut inside a contraction may take more tokens than the whole, so counts are not sorted
+            within = [i for i, c in enumerate(chunk) if base + c <= limit]
+            if within:
+                fit = at + within[-1]
+            if base > limit:
+                break
+            base += chunk[-1]
+            at += len(chunk) - 1
+        return n, fit
 
 
 _COUNTERS: dict[str, PrefixCounter] = {}

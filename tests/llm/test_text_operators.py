@@ -48,6 +48,18 @@ def test_token_counts_equal_library_at_every_prefix():
             assert c.count_and_fit(s, limit) == (every[-1], max(i for i, v in enumerate(every) if v <= limit)), repr(s)
 
 
+def test_every_code_point_is_split_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    c = token_prefix.PrefixCounter(token_prefix.vocabulary())
+    lib = Tokenizer.from_file(token_prefix.vocabulary())
+    every = [p for p in range(1, 0x110000) if not 0xD800 <= p < 0xE000]
+    texts = ["".join(f"x{chr(p)}'s 1{chr(p)} !{chr(p)}" for p in every[i:i + 128]) for i in range(0, len(every), 128)]
+    for text, found in zip(texts, lib.encode_batch_fast(texts, add_special_tokens=False)):
+        n = sum(c.piece_counts(p.encode())[-1] for p in c.pattern.findall(text))
+        assert n == len(found.ids), hex(ord(text[1]))
+
+
 def test_token_table(spark, edge):
     from tokenizers import Tokenizer
 
