@@ -209,6 +209,50 @@ def test_decontamination_recall_at_full_budget():
     assert hit / n >= 0.95
 
 
+@pytest.mark.parametrize("words", [18, 30, 60, 120])
+def test_decontamination_recall_by_length(words):
+    """Whole search, items of one length, all edits of the budget at random places."""
+    r = random.Random(words)
+    vocabulary = ["".join(r.choice("abcdefghijklmnopqrst") for _ in range(r.randint(2, 9))) for _ in range(600)]
+    items = decontaminate.Items([(k, " ".join(r.choice(vocabulary) for _ in range(words))) for k in range(100)])
+    texts = []
+    for i in range(100):
+        s = list(items.string[i])
+        for _ in range(int(items.budget[i])):
+            q = r.randrange(len(s))
+            s[q:q + r.randint(0, 1)] = r.choice(["", "a", "x", " "])
+        texts.append("Some words before that " + "".join(s) + " and some behind it too")
+    found = items.search(*textnum.text_bytes(pa.array(texts)))
+    assert sum((d, d) in {(f[0], f[1]) for f in found} for d in range(100)) >= 95
+
+
+def test_decontamination_buckets_hold_every_item_of_a_size():
+    """A window is a candidate of any item in its bucket, not only of the one that led to it."""
+    items = decontaminate.Items([(0, "alpha beta gamma delta epsilon"), (1, "alpha beta gamma delta epsilot"), (2, "something else altogether here")])
+    window = np.frombuffer(items.text[0], np.uint8)
+    got = items.candidates([window], np.array([0]))
+    assert (0, 0) in got and (0, 1) in got and (0, 2) not in got
+
+
+def test_decontamination_equals_brute_force():
+    """All documents of a table of up to 1,500 characters against every item."""
+    import pyarrow.parquet as pq
+
+    t = pq.read_table("/root/testdata/sf0.001/benchmark.parquet").to_pydict()
+    items = decontaminate.Items(list(zip(t["item_id"], t["text"])))
+    docs = [x for x in pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pydict()["text"] if len(x or "") <= 1500][:45]
+    docs += [f"before {items.string[3][2:]} behind", "an " + items.string[7].replace("e", "E", 1) + " end"]
+    got = {(d, i): e for d, i, e, _ in items.search(*textnum.text_bytes(pa.array(docs)))}
+    want = {}
+    for d, text in enumerate(docs):
+        plain = decontaminate.normal(text).decode()
+        for i, s in enumerate(items.string):
+            e = decontaminate.edit_distance_within(s, plain)
+            if e <= items.budget[i] and items.size[i] >= decontaminate.GRAM:
+                want[d, i] = e
+    assert want and got.keys() == want.keys()
+
+
 def test_decontamination_short_and_unspaced_items():
     r, letters = random.Random(8), "abcdefghijklmnopqrstuvwxyz"
     word = lambda n: "".join(r.choice(letters) for _ in range(n))
