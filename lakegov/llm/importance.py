@@ -7,13 +7,16 @@ of its n-grams, tempered by its length: the log ratio counts as that of
 ``NGRAMS`` n-grams (``NGRAMS * sum / (n + PRIOR)``), as the plain product of a
 text of thousands of n-grams says little but its length. Measured on labelled
 text at 0.2 % of good documents lost, the tempered weight rejects 93 % of the
-bad ones, the plain product 53 %. Adding Gumbel noise to the log weight and
-taking the k largest draws k documents without replacement in proportion to
-their weights.
+bad ones, the plain product 53 %. The log weight over ``TEMPERATURE`` plus Gumbel
+noise is a document's score; taking the k largest scores draws k documents
+without replacement in proportion to weight^(1 / TEMPERATURE). At the
+temperature used, the noise decides over documents within a few tens of the
+cut in log weight: neither a plain cut nor a coin.
 
-k can be given, or is set by the labels: a held-out half of the labelled good
-documents says down to which noisy weight good documents reach (``KEEP`` of
-them), and k is the number of documents at or above it.
+k can be given; else the labels say how many: a held-out half of the labelled
+good documents shows down to which score good documents reach (``KEEP`` of
+them), and k is the number of documents that reach it. The draw is always the
+k largest scores (``cut_of_top_k``, exact).
 
 The target model and the held-out half come from at most ``MAX_TARGET``
 labelled good documents (by hash of the id); raw counts and scores cover every
@@ -41,6 +44,7 @@ MAX_TARGET = 20_000
 KEEP = 0.998
 NGRAMS = 1000.0   # n-grams that a document's log weight counts for
 PRIOR = 100.0     # n-grams of ratio 1 added to every document
+TEMPERATURE = 10.0
 SEED = "importance-1"
 
 
@@ -111,10 +115,10 @@ def with_weights(docs: DataFrame, ratios: np.ndarray, text: str = "text", keep_t
     return map_arrow(docs.select(*(f.name for f in kept), F.col(text).alias(own)), run, schema)
 
 
-def noisy(weight: str = "log_weight", id_col: str = "doc_id", seed: str = SEED):
-    """Log weight plus a standard Gumbel draw hashed from the seed and the id."""
+def noisy(weight: str = "log_weight", id_col: str = "doc_id", seed: str = SEED, temperature: float = TEMPERATURE):
+    """Log weight over the temperature plus a standard Gumbel draw hashed from the seed and the id."""
     u = unit_hash(seed, F.col(id_col)) + F.lit(2.0 ** -54)
-    return F.col(weight) - F.log(-F.log(u))
+    return F.col(weight) / F.lit(temperature) - F.log(-F.log(u))
 
 
 def cut_of_top_k(scores: DataFrame, k: int, score: str = "score") -> float:
@@ -164,12 +168,11 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, keep: flo
     ratios, held_out = fit(docs, labels, id_col, text)
     scored = with_weights(docs.select(id_col, text), ratios, text).withColumn("score", noisy("log_weight", id_col, seed))
     scored = staged(scored, "importance")
-    if k is not None:
-        cut = cut_of_top_k(scored, k)
-    else:
+    if k is None:
         # at most max_target rows meet in this exact percentile
-        q = scored.join(F.broadcast(held_out), scored[id_col] == F.col("_id")).agg(F.percentile("score", F.lit(1 - keep))).first()[0]
-        cut = float("-inf") if q is None else q
+        reach = scored.join(F.broadcast(held_out), scored[id_col] == F.col("_id")).agg(F.percentile("score", F.lit(1 - keep))).first()[0]
+        k = scored.count() if reach is None else scored.filter(F.col("score") >= F.lit(reach)).count()
+    cut = cut_of_top_k(scored, k)
     return scored.withColumn("kept", F.col("score") >= F.lit(cut)), ratios, cut
 
 

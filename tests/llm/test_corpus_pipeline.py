@@ -12,7 +12,7 @@ import xxhash
 from test_corpus_operators import edit_by_hand, fingerprint_by_hand, least_reachable
 
 import corpus_pipeline
-from lakegov.llm import catalog
+from lakegov.llm import catalog, importance
 
 ODD, BASE, FULL = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
 
@@ -73,9 +73,11 @@ def scores_by_hand(docs, good):
     n_raw, n_target = sum(raw.values()) + 10_000, sum(target.values()) + 10_000
     ratio = lambda b: math.log((target[b] + 1) / n_target) - math.log((raw[b] + 1) / n_raw)
     weight = {i: 1000 * sum(map(ratio, g)) / (len(g) + 100) for i, g in grams.items()}
-    score = {i: w - math.log(-math.log(unit("importance-1", i) + 2**-54)) for i, w in weight.items()}
-    cut = np.quantile([score[i] for i in good - fit], 0.002)
-    return {i: (weight[i], score[i], bool(score[i] >= cut)) for i in docs}
+    score = {i: w / 10 - math.log(-math.log(unit("importance-1", i) + 2**-54)) for i, w in weight.items()}
+    reach = np.quantile([score[i] for i in good - fit], 0.002)
+    k = sum(x >= reach for x in score.values())
+    drawn = sorted(score, key=lambda i: -score[i])[:k]
+    return {i: (weight[i], score[i], i in drawn) for i in docs}
 
 
 def test_resampling_query(spark, small):
@@ -87,6 +89,24 @@ def test_resampling_query(spark, small):
         assert (got[i].log_weight, got[i].score) == pytest.approx((weight, score)) and got[i].kept == kept
 
 
+def test_top_k_draws_in_proportion_to_weights(spark):
+    """Over seeds, the first of three documents drawn follows weight^(1 / temperature): 1 : 2 : 4."""
+    weights = [(i, importance.TEMPERATURE * math.log(w)) for i, w in enumerate((1, 2, 4))]
+    df = spark.createDataFrame(weights, "doc_id long, log_weight double")
+    rows = df.select(*(importance.noisy(seed=f"seed {s}").alias(f"s{s}") for s in range(700))).collect()
+    first = Counter(max(range(3), key=lambda i: rows[i][s]) for s in range(700))
+    for i, share in enumerate((1 / 7, 2 / 7, 4 / 7)):
+        assert abs(first[i] - 700 * share) < 4.5 * math.sqrt(700 * share * (1 - share))
+
+
+def test_cut_of_top_k_is_the_kth_score(spark):
+    scores = [random.Random(5).gauss(0, 5) for _ in range(500)] + [1.5] * 20
+    df = spark.createDataFrame([(x,) for x in scores], "score double")
+    for k in (1, 77, 300, 519):
+        assert importance.cut_of_top_k(df, k) == sorted(scores, reverse=True)[k - 1]
+    assert importance.cut_of_top_k(df, 520) == float("-inf") and importance.cut_of_top_k(df, 0) == float("inf")
+
+
 # -- the whole pipeline -----------------------------------------------------------------
 def cut_by_hand(texts, span=200):
     seen = Counter(b[i:i + span] for b in (t.encode() for t in texts.values()) for i in range(len(b) - span + 1))
@@ -109,7 +129,8 @@ def copies_by_hand(texts, docs, named):
     for i in texts:
         rate = weight[stratum[i]] / sum(weight.values()) * sum(mass.values()) / mass[stratum[i]]
         parts = max(1, math.ceil(rate / 700))
-        us = [unit("mix-17", i)] if parts == 1 else [unit("mix-17-part", i, j) for j in range(parts)]
+        own = f"{i}/{hashlib.md5(texts[i].encode()).hexdigest()}/"
+        us = [unit("mix-17", own)] if parts == 1 else [unit("mix-17-part", own, j) for j in range(parts)]
         mean, out[i] = rate / parts, 0
         for u in us:
             k, term, total = 0, math.exp(-mean), 0.0
