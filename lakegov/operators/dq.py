@@ -40,6 +40,41 @@ def dq_metrics(fact: DataFrame) -> DataFrame:
     )
 
 
+# --- mergeable state: one stored row per run -----------------------------------
+_FILLED = {"pickup_ts_fill_rate": "pickup_datetime", "dropoff_ts_fill_rate": "dropoff_datetime", "total_amount_fill_rate": "total_amount",
+           "vendor_fk_fill_rate": "vendor_sk", "ratecode_fk_fill_rate": "ratecode_sk", "payment_fk_fill_rate": "payment_type_sk",
+           "pickup_zone_fk_fill_rate": "pickup_zone_sk", "dropoff_zone_fk_fill_rate": "dropoff_zone_sk"}
+_BAD = {"bad_time_order_count": "dropoff_datetime < pickup_datetime", "negative_distance_count": "trip_distance < 0"}
+
+
+def run_state(fact: DataFrame, key: str = "run_id") -> DataFrame:
+    """Per run what its metrics are made of: rows, filled cells, bad rows and how
+    many rows could be judged. A run's row depends on its own fact rows alone, so
+    it is stored with the run and never computed again."""
+    return fact.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), *(F.count(c).alias(f"filled_{m}") for m, c in _FILLED.items()),
+        *(F.count_if(F.expr(e)).alias(f"bad_{m}") for m, e in _BAD.items()),
+        *(F.count(F.expr(e)).alias(f"judged_{m}") for m, e in _BAD.items()))
+
+
+def store_state(fact_of_run: DataFrame, base: str, run_id: str) -> None:
+    """Write (or replace) the state row of one run; other runs' rows stay as they are."""
+    state = run_state(fact_of_run.withColumn("run_id", F.lit(run_id)))
+    state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(base)
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """``dq_metrics`` of all runs together from their stored states: sums of a row
+    per run, equal to one scan of the whole fact."""
+    s = states.agg(*(F.sum(c).alias(c) for c in states.columns if c.startswith(("filled_", "bad_", "judged_"))), F.sum("n").alias("n"))
+    rate = lambda m: as_rate(F.col(f"filled_{m}") / F.nullif(F.col("n"), F.lit(0))).alias(m)
+    bad = lambda m: F.when(F.col(f"judged_{m}") > 0, F.col(f"bad_{m}")).cast("bigint").alias(m)
+    zero = lambda m, name: F.coalesce(F.col(f"bad_{m}"), F.lit(0)).cast("bigint").alias(name)
+    return s.select(F.coalesce("n", F.lit(0)).cast("bigint").alias("total_rows"),
+                    *(rate(m) for m in list(_FILLED)[:3]), *(bad(m) for m in _BAD), *(rate(m) for m in list(_FILLED)[3:]),
+                    zero("bad_time_order_count", "_bad_time_cnt"), zero("negative_distance_count", "_neg_dist_cnt"))
+
+
 def public_metrics(metrics: DataFrame) -> DataFrame:
     return metrics.drop("_bad_time_cnt", "_neg_dist_cnt")
 

@@ -2,9 +2,11 @@
 and the numeric metric export (A15).
 
 The zone master is a dimension: at any data scale it is bounded by the
-number of zones, not by trips. It is broadcast only after its row count is
-proven below a bound (reading at most bound+1 rows); beyond the bound the
-join falls back to a shuffle join that AQE can re-plan and split for skew.
+number of zones, not by trips. It is broadcast only where its rows were
+counted when it was built, or where the plan's own statistics bound its bytes
+(file sizes, carried through filters and joins); no job is run to find out.
+Beyond the bound the join is a shuffle join that AQE can re-plan from measured
+sizes and split for skew.
 """
 
 from __future__ import annotations
@@ -12,9 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimensions up to this many rows are broadcast: about 32 MB at 160 bytes a row. The hint changes
+# Dimensions up to this many counted rows (about 32 MB at 160 bytes a row), or up to this many bytes by the
+# plan's statistics (Parquet bytes; text grows a few times in memory), are broadcast. The hint changes
 # the join strategy only, never a value.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 8 << 20
 
 
 def mark_bounded(df: DataFrame, rows: int) -> DataFrame:
@@ -24,18 +28,18 @@ def mark_bounded(df: DataFrame, rows: int) -> DataFrame:
     return df
 
 
-def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Uses a recorded bound
-    when there is one; otherwise reads at most max_rows + 1 rows, so the
-    check stays cheap on any input."""
+def plan_bytes(df: DataFrame) -> int:
+    """Upper estimate of the bytes of ``df`` by the optimizer: sizes of the files
+    that are read, products for joins; very large where nothing is known."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size))       # a JVM BigInt, which may arrive as a number already
+
+
+def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` is known to be small: by a recorded row bound, else by the
+    plan's statistics. Starts no job."""
     known = getattr(df, "_lakegov_max_rows", None)
-    if known is not None:
-        return known <= max_rows
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        mark_bounded(df, n)
-        return True
-    return False
+    return known <= max_rows if known is not None else plan_bytes(df) <= max_bytes
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -126,3 +126,30 @@ def governance_kpis(audit_now: DataFrame, decisions_now: DataFrame) -> DataFrame
     return out.withColumn(
         "success_rate",
         F.round(F.col("runs_succeeded") / F.nullif(F.col("runs_succeeded") + F.col("runs_failed"), F.lit(0)), 4))
+
+
+def platform_kpis(run_coverage: DataFrame, decisions_now: DataFrame, snapshots: DataFrame, as_of, max_age_hours: float = 24.0) -> DataFrame:
+    """(name, value, target, ok) of the platform's KPIs: rows processed, pickup and
+    dropoff zone completeness over all runs, approved and rejected runs, age of the newest snapshot.
+
+    ``run_coverage`` holds one stored row per run (total_rows, pu_nonnull,
+    do_nonnull), so no trip is read again; ``snapshots`` one row per snapshot
+    (committed_at). Rates of nothing are null and not ok."""
+    cov = run_coverage.agg(F.sum("total_rows").alias("rows"), F.sum("pu_nonnull").alias("pu"), F.sum("do_nonnull").alias("do"))
+    dec = decisions_now.agg(F.count_if(F.col("decision") == DECISION_APPROVED).alias("approved"),
+                            F.count_if(F.col("decision") == DECISION_REJECTED).alias("rejected"))
+    at = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+    age = snapshots.agg(F.max(F.col("committed_at").cast("timestamp_ntz")).alias("newest")).select(
+        F.round(F.timestamp_diff("SECOND", F.col("newest"), at) / 3600, 4).alias("age"))
+    one = cov.join(F.broadcast(dec)).join(F.broadcast(age))       # three one-row aggregates
+    rate = lambda c: F.round(F.col(c) / F.nullif(F.col("rows"), F.lit(0)), 4)
+    kpi = lambda name, value, target, ok: F.struct(
+        F.lit(name).alias("name"), value.cast("double").alias("value"), F.lit(target).cast("double").alias("target"),
+        F.coalesce(ok, F.lit(False)).alias("ok"))
+    return one.select(F.inline(F.array(
+        kpi("total_rows_processed", F.coalesce("rows", F.lit(0)), 1, F.col("rows") > 0),
+        kpi("pickup_zone_completeness", rate("pu"), 0.98, rate("pu") >= 0.98),
+        kpi("dropoff_zone_completeness", rate("do"), 0.98, rate("do") >= 0.98),
+        kpi("approved_runs", F.col("approved"), None, F.lit(True)),
+        kpi("rejected_runs", F.col("rejected"), None, F.lit(True)),
+        kpi("snapshot_age_hours", F.col("age"), max_age_hours, F.col("age") <= max_age_hours))))

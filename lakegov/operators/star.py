@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakegov.operators.enrich import mark_bounded, maybe_broadcast
@@ -18,6 +18,9 @@ from lakegov.session import checkpoint_root
 from lakegov.sources.seeds import UNKNOWN_PAYMENT_TYPE, UNKNOWN_RATE_CODE
 
 
+LITERAL_ROWS = 1_000
+
+
 # B9 --------------------------------------------------------------------------
 def surrogate_key(df: DataFrame, name: str, order_by: Sequence[str] | None = None, start: int = 1) -> DataFrame:
     """Unique surrogate key.
@@ -27,14 +30,18 @@ def surrogate_key(df: DataFrame, name: str, order_by: Sequence[str] | None = Non
       stored once by a reliable checkpoint (so that partitions stay as they
       are), numbered inside each partition, and shifted by the rows of the
       partitions before; only one count per partition reaches the driver.
+      Up to ``LITERAL_ROWS`` rows that are known to be no more (seed rows) are numbered by a window.
     * otherwise (facts): ``monotonically_increasing_id`` offset by ``start`` —
       unique, no shuffle; the caller writes the result before reusing the keys.
     """
     if not order_by:
         return df.withColumn(name, F.monotonically_increasing_id() + F.lit(start))
     spark = df.sparkSession
-    checkpoint_root(spark)
     keys = [F.col(c).asc_nulls_last() for c in order_by]
+    known = getattr(df, "_lakegov_max_rows", None)
+    if known is not None and known <= LITERAL_ROWS:      # seed rows: numbered where they stand, no job
+        return mark_bounded(df.withColumn(name, F.row_number().over(Window.orderBy(*keys)).cast("long") + F.lit(start - 1)), known)
+    checkpoint_root(spark)
     place = F.monotonically_increasing_id()  # partition number above bit 33, row number in it below
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     ranged = ranged.select("*", F.shiftright(place, 33).cast("int").alias("_part"),

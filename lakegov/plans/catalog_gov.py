@@ -137,6 +137,34 @@ def q_governance_kpis(spark, sf):
     return governance.governance_kpis(audit_now(spark, sf), decisions_now(spark, sf))
 
 
+COVERAGE_RUNS_SQL = """
+SELECT quarter(tpep_pickup_datetime) AS run, COUNT(*) AS total_rows, COUNT(pu_zone) AS pu_nonnull, COUNT(do_zone) AS do_nonnull
+FROM curated GROUP BY 1"""
+
+
+@register("platform_kpis", with_ctes(
+    catalog.TRIP_CTES + [("dec", DECISIONS_SQL), ("ld", LATEST_DECISION_SQL), ("cov", COVERAGE_RUNS_SQL), ("one", f"""
+SELECT CAST(SUM(total_rows) AS DOUBLE) AS n, SUM(pu_nonnull) AS pu, SUM(do_nonnull) AS do_,
+  (SELECT COUNT(*) FILTER (WHERE decision = 'approved') FROM ld) AS approved,
+  (SELECT COUNT(*) FILTER (WHERE decision = 'rejected') FROM ld) AS rejected,
+  (SELECT ROUND(date_diff('second', date_trunc('second', MAX(ts)), TIMESTAMP '{AS_OF}') / 3600.0, 4) FROM events WHERE event_type = 'signup') AS age
+FROM cov""")], """
+SELECT 'total_rows_processed' AS name, CAST(n AS DOUBLE) AS value, CAST(1 AS DOUBLE) AS target, n > 0 AS ok FROM one
+UNION ALL SELECT 'pickup_zone_completeness', ROUND(pu / n, 4), 0.98, ROUND(pu / n, 4) >= 0.98 FROM one
+UNION ALL SELECT 'dropoff_zone_completeness', ROUND(do_ / n, 4), 0.98, ROUND(do_ / n, 4) >= 0.98 FROM one
+UNION ALL SELECT 'approved_runs', CAST(approved AS DOUBLE), NULL, TRUE FROM one
+UNION ALL SELECT 'rejected_runs', CAST(rejected AS DOUBLE), NULL, TRUE FROM one
+UNION ALL SELECT 'snapshot_age_hours', CAST(age AS DOUBLE), 24, age <= 24 FROM one"""))
+def q_platform_kpis(spark, sf):
+    """K5: rows, completeness, decisions and snapshot age, from one coverage row per run."""
+    cur = catalog.curated_trips(spark, sf)
+    cov = cur.groupBy(F.quarter("tpep_pickup_datetime").alias("run")).agg(
+        F.count(F.lit(1)).alias("total_rows"), F.count("pu_zone").alias("pu_nonnull"), F.count("do_zone").alias("do_nonnull"))
+    snaps = B.table(spark, sf, "events").filter(F.col("event_type") == "signup").select(
+        F.date_trunc("SECOND", "ts").cast("timestamp_ntz").alias("committed_at"))
+    return governance.platform_kpis(cov, decisions_now(spark, sf), snaps, AS_OF)
+
+
 # ==========================================================================
 # latest DQ results
 # ==========================================================================

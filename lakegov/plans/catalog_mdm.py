@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lakegov.operators import golden_store, matching, quality, scd, survivorship
 from lakegov.plans import binding as B
-from lakegov.plans import catalog
+from lakegov.plans import catalog, masters
 from lakegov.plans.catalog import register, with_ctes
 from lakegov.sources import seeds
 
@@ -512,3 +512,78 @@ def q_canonical_zone(spark, sf):
     hdr = quality.normalize_headers(raw)
     quality.require_columns(hdr, ["locationid", "borough", "zone", "service zone"], "zone master")
     return quality.canonical_zone(hdr)
+
+
+# ==========================================================================
+# Vendor and rate-code masters: publish, snapshot, staging, merge, dimension
+# ==========================================================================
+#: domain -> (table, key, name) whose keys are doubled, so that keys of new records (2 key + 1) are free
+MASTER_SOURCES = {"vendor": ("supplier", "s_suppkey", "s_name"), "rate_code": ("customer", "c_custkey", "c_name")}
+
+
+def master_records(spark, sf, domain: masters.Domain, batch: str) -> DataFrame:
+    """Batch 1: every row of the source. Batch 2: names of keys divisible by 4
+    change, keys ending in 3 also arrive as new ones; keys divisible by 9 stay pending in both."""
+    source, key, name = MASTER_SOURCES[domain.name]
+    t = B.table(spark, sf, source).select(F.col(key).cast("int").alias("k"), F.col(name).alias("n"))
+    if batch == B.BATCH_2:
+        new = t.filter("k % 10 = 3").select((2 * F.col("k") + 1).alias("id"), "k", "n")
+        t = t.withColumn("n", F.when(F.col("k") % 4 == 0, F.concat("n", F.lit(" II"))).otherwise(F.col("n")))
+        t = t.select((2 * F.col("k")).alias("id"), "k", "n").unionByName(new)
+    else:
+        t = t.select((2 * F.col("k")).alias("id"), "k", "n")
+    return t.select(F.col("id").cast("int").alias(domain.key), F.col("n").alias(domain.attrs[0]),
+                    F.when(F.col("k") % 9 == 0, F.lit(matching.PENDING)).otherwise(F.lit(matching.APPROVED)).alias("status"),
+                    F.lit(batch).alias("batch_id"))
+
+
+def loaded_master(spark, sf, domain: masters.Domain) -> str:
+    """Both batches published, snapshotted and loaded in turn; the root folder."""
+    def build(base: str) -> str:
+        for batch, snapshot, at, loaded in ((B.BATCH_1, "snap_001", T1, T1), (B.BATCH_2, "snap_002", T2, T3)):
+            masters.publish(spark, base, domain, master_records(spark, sf, domain, batch), batch, at, buckets=8)
+            masters.publish_snapshot(spark, base, domain, snapshot, at)
+            masters.load_master(spark, base, domain, loaded)
+        return base
+    return catalog._memo(f"master-{domain.name}", spark, sf, build)
+
+
+def master_ctes(d: masters.Domain) -> list[tuple[str, str]]:
+    source, key, name = MASTER_SOURCES[d.name]
+    attr = d.attrs[0]
+    return [
+        ("b1", f"SELECT CAST(2 * {key} AS INTEGER) AS id, {name} AS n FROM {source} WHERE {key} % 9 <> 0"),
+        ("b2", f"""
+SELECT CAST(2 * {key} AS INTEGER) AS id, CASE WHEN {key} % 4 = 0 THEN {name} || ' II' ELSE {name} END AS n FROM {source} WHERE {key} % 9 <> 0
+UNION ALL SELECT CAST(2 * {key} + 1 AS INTEGER), {name} FROM {source} WHERE {key} % 10 = 3 AND {key} % 9 <> 0"""),
+        ("g", f"""
+SELECT b1.id, b1.n, TIMESTAMP '{T1}' AS effective_from, CASE WHEN b2.n <> b1.n THEN TIMESTAMP '{T2}' END AS effective_to,
+  NOT COALESCE(b2.n <> b1.n, FALSE) AS is_current, '{B.BATCH_1}' AS source_batch_id, TIMESTAMP '{T1}' AS loaded_at
+FROM b1 LEFT JOIN b2 USING (id)
+UNION ALL
+SELECT b2.id, b2.n, TIMESTAMP '{T2}', NULL, TRUE, '{B.BATCH_2}', TIMESTAMP '{T3}'
+FROM b2 LEFT JOIN b1 USING (id) WHERE b1.id IS NULL OR b1.n <> b2.n"""),
+        ("m", f"""
+SELECT id AS {d.key}, n AS {attr}, effective_from, effective_to, is_current, source_batch_id, 'snap_002' AS snapshot_id,
+  TIMESTAMP '{T2}' AS snapshot_ts, effective_from AS created_at, loaded_at, TIMESTAMP '{T3}' AS updated_at FROM g"""),
+    ]
+
+
+@register("vendor_master_upsert", with_ctes(master_ctes(masters.VENDOR), "SELECT * FROM m"))
+def q_vendor_master_upsert(spark, sf):
+    """Vendor master after two batches: publish, snapshot, staging load, merge (golden_sk left out)."""
+    return masters.master(spark, loaded_master(spark, sf, masters.VENDOR), masters.VENDOR).drop("golden_sk")
+
+
+@register("ratecode_master_upsert", with_ctes(master_ctes(masters.RATE_CODE), "SELECT * FROM m"))
+def q_ratecode_master_upsert(spark, sf):
+    """Rate-code master after two batches, by the same path."""
+    return masters.master(spark, loaded_master(spark, sf, masters.RATE_CODE), masters.RATE_CODE).drop("golden_sk")
+
+
+@register("ratecode_dim", with_ctes(master_ctes(masters.RATE_CODE), """
+SELECT rate_code_id, rate_code_name, row_number() OVER (ORDER BY rate_code_id) AS ratecode_sk FROM m WHERE is_current"""))
+def q_ratecode_dim(spark, sf):
+    """The dimension over the current rows of the loaded rate-code master."""
+    root = loaded_master(spark, sf, masters.RATE_CODE)
+    return masters.dimension(spark, root, masters.RATE_CODE, seeds.seed(spark, "rate_code"))

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakegov.operators import dq, enrich, governance, matching, quality, scd, star
+from lakegov.plans import masters
 from lakegov.sources import lake, seeds
 
 AUDIT_SCHEMA = ("run_id string, event_type string, status string, put_at timestamp_ntz, reason string, "
@@ -286,7 +287,8 @@ def publish_snapshot(spark: SparkSession, layout: Layout, snapshot_id: str) -> s
 # warehouse
 # ----------------------------------------------------------------------------
 def build_warehouse(spark: SparkSession, layout: Layout, run_id: str | None = None) -> dict:
-    """Dims from the latest snapshot and seeds, the fact from released curated
+    """Dims from the latest zone snapshot, from the vendor and rate-code masters
+    (seed rows until one is loaded) and from seeds, the fact from released curated
     runs (optionally one run), DQ metrics and the eleven assertion rows
     (appended to the results table)."""
     wh = layout.warehouse
@@ -294,8 +296,8 @@ def build_warehouse(spark: SparkSession, layout: Layout, run_id: str | None = No
     master = snap.withColumns({"loaded_at": F.current_timestamp().cast("timestamp_ntz")})
     dims = {
         "zone_dim": star.build_zone_dim(master),
-        "vendor_dim": star.build_vendor_dim(seeds.seed(spark, "vendor")),
-        "ratecode_dim": star.build_ratecode_dim(seeds.seed(spark, "rate_code")),
+        "vendor_dim": masters.dimension(spark, layout.root, masters.VENDOR, seeds.seed(spark, "vendor")),
+        "ratecode_dim": masters.dimension(spark, layout.root, masters.RATE_CODE, seeds.seed(spark, "rate_code")),
         "payment_dim": star.build_payment_dim(seeds.seed(spark, "payment_type")),
     }
     for name, d in dims.items():
