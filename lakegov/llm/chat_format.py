@@ -49,21 +49,23 @@ def unescape_role(role: Column) -> Column:
 
 
 def turn_tokens(text: Column) -> Column:
-    """Pieces of letters and digits, or single other marks, plus the template's own."""
+    """An estimate of a turn's tokens: pieces of letters and digits, or single other marks, plus the template's own."""
     return (F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]")) + MARK_TOKENS).cast("long")
 
 
-def turns(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """One row per turn: position, tokens, its span, the turns repeated before
-    it (``hist``, at most ``history / MARK_TOKENS``) and the retained system
-    turn (``sys``, at most one). A conversation streams through one sort;
-    nothing of it is gathered beyond ``history``."""
+def turns(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: str | None = None) -> DataFrame:
+    """One row per turn: position, tokens, its span, and on the first turn of a
+    window the turns repeated before it (``hist``, at most ``history /
+    MARK_TOKENS``) and the retained system turn (``sys``, at most one). ``tokens``
+    names a column with the texts' exact token counts (such as those of
+    ``token_prefix``); without it ``turn_tokens`` estimates them. A conversation
+    streams through one sort; nothing of it is gathered beyond ``history``."""
+    cost = turn_tokens(F.coalesce("text", F.lit(""))) if tokens is None else (F.coalesce(tokens, F.lit(0)) + MARK_TOKENS).cast("long")
     c = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
-                             F.coalesce("text", F.lit("")).alias("text"))
+                             F.coalesce("text", F.lit("")).alias("text"), cost.alias("tokens"))
     conv = Window.partitionBy("conv_id")
     c = c.withColumn("pos", F.row_number().over(conv.orderBy(F.col("turn").asc_nulls_first(), "role", "text")).cast("long"))
     c = c.withColumn("retained", (F.col("pos") == 1) & (F.col("role") == "system"))
-    c = c.withColumn("tokens", turn_tokens(F.col("text")))
     c = c.withColumn("_line", F.when(F.col("retained"), F.lit(0).cast("long")).otherwise(F.col("tokens")))
     head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
     c = c.withColumn("piece", F.concat(head, escape(F.col("text")), F.lit(END)))
@@ -86,14 +88,18 @@ def turns(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY
     # the system turn stands before the first span
     c = c.withColumn("span", F.when(F.col("retained"), F.coalesce(F.lead("span").over(conv.orderBy("pos")), F.lit(0)))
                      .otherwise(F.col("span")))
-    return c.drop("_line", "_room")
+    # repeated turns and the system turn go on with the first turn of a window alone
+    opens = ~F.col("span").eqNullSafe(F.lag("span").over(conv.orderBy("pos")))
+    c = c.withColumn("_opens", opens)
+    c = c.withColumns({"hist": F.when(F.col("_opens"), F.col("hist")), "sys": F.when(F.col("_opens"), F.col("sys"))})
+    return c.drop("_line", "_room", "_opens")
 
 
-def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: str | None = None) -> DataFrame:
     """(conv_id, span, first_window, n_system, n_history, n_new, tokens,
     over_budget, formatted, loss): ``loss`` lists (start, length) of the
     assistant texts under the loss mask, in code points of ``formatted``."""
-    t = turns(conversations, budget, history)
+    t = turns(conversations, budget, history, tokens)
     w = t.groupBy("conv_id", "span").agg(
         F.sort_array(F.collect_list(F.when(~F.col("retained"), F.col("item")))).alias("new"),
         F.min_by("hist", F.when(~F.col("retained"), F.col("pos"))).alias("hist"), F.max("sys").alias("sys"),

@@ -251,3 +251,14 @@ def test_chat_round_trip(spark, budget, history):
     if history == 24:
         assert windows.filter("n_history > 0").count() > 0
     assert chat_format.digests(chat_format.windows(c.limit(0))).count() == 0
+
+
+def test_chat_budget_in_a_callers_tokens(spark):
+    """Windows follow the given counts, and a window's repeated turns and system turn are carried once."""
+    rows = [(1, 0, "system", "be brief", 3)] + [(1, i, "assistant" if i % 2 else "user", f"turn {i}", 20) for i in range(1, 13)]
+    c = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, n_tokens long")
+    w = chat_format.windows(c, 100, 30, "n_tokens").orderBy("span").collect()
+    assert all(r.tokens <= 100 and not r.over_budget and r.n_system == 1 for r in w) and len(w) > 3
+    assert sum(r.n_new for r in w) == 12 and all(r.n_history == 1 for r in w[1:])
+    t = chat_format.turns(c, 100, 30, "n_tokens").collect()
+    assert sum(r.sys is not None for r in t) == len(w) == sum(r.hist is not None for r in t)
