@@ -45,19 +45,17 @@ def scd2_publish(golden: DataFrame, records: DataFrame, batch_id: str, key: str,
     * history rows, unchanged current rows and keys absent from the batch
       are kept as they are. Re-publishing the same batch is a no-op.
 
-    One full outer join of the golden table and the incoming rows on the key
-    (matching only the current version; both sides unique per key there),
-    then each joined row emits its 0–2 output rows."""
+    One full outer join of the current versions and the incoming rows on the
+    key (both unique per key), then each joined row emits its 0–2 output rows;
+    expired versions are passed on as they are, without a shuffle."""
     at = _ts(as_of)
     inc = (records.filter((F.col("batch_id") == batch_id) & (F.col("status") == APPROVED))
            .select(F.col(key).cast("int").alias(key), *[F.col(c).cast("string").alias(c) for c in attrs])
            .withColumn("_new_hash", record_hash(*attrs)))
-    # one pass over the golden table: every version flows through the join,
-    # but only the current version of a key can meet an incoming row
     gcols = golden.columns
-    c = golden.select(*[F.col(x).alias(f"_g_{x}") for x in gcols], F.col(key).alias("_k"))
+    c = golden.filter("is_current").select(*[F.col(x).alias(f"_g_{x}") for x in gcols], F.col(key).alias("_k"))
     i = inc.select(*[F.col(x).alias(f"_i_{x}") for x in [key, *attrs]], "_new_hash", F.col(key).alias("_ik"))
-    j = c.join(i, (F.col("_k") == F.col("_ik")) & F.col("_g_is_current"), "full_outer")
+    j = c.join(i, F.col("_k") == F.col("_ik"), "full_outer")
 
     has_cur, has_inc = F.col(f"_g_{key}").isNotNull(), F.col(f"_i_{key}").isNotNull()
     changed = has_cur & has_inc & (F.col("_g_record_hash") != F.col("_new_hash"))
@@ -76,6 +74,7 @@ def scd2_publish(golden: DataFrame, records: DataFrame, batch_id: str, key: str,
         F.lit(batch_id).alias("source_batch_id"), at.alias("created_at"))
     rows = F.array(F.when(has_cur, old_row), F.when(has_inc & (~has_cur | changed), new_row))
     out = j.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
+    out = out.unionByName(golden.filter("NOT is_current").select(*out.columns))
 
     # new rows get fresh surrogate keys above every existing one
     if next_sk_from is None:
@@ -112,9 +111,9 @@ SENTINEL_BOOL = False
 
 
 def _sentinel(c: str, dtype: str) -> Column:
-    if dtype in ("int", "bigint", "smallint"):
+    if dtype in ("int", "bigint", "smallint", "tinyint", "float", "double") or dtype.startswith("decimal"):
         s = F.lit(SENTINEL_INT).cast(dtype)
-    elif dtype.startswith("timestamp"):
+    elif dtype.startswith("timestamp") or dtype == "date":
         s = F.lit(SENTINEL_TS).cast(dtype)
     elif dtype == "boolean":
         s = F.lit(SENTINEL_BOOL)

@@ -271,7 +271,8 @@ def read_batches(spark: SparkSession, target: str, schema: T.StructType, batch_c
 def write_metrics(metrics: DataFrame, path: str, run_id: str | None = None) -> None:
     """One-row metrics as JSON at a fixed path (overwritten each run); with a
     run id a per-run copy is kept as well, so runs never lose their metrics."""
-    one = metrics.coalesce(1)
+    # one row: computed once, whatever the number of documents it goes to
+    one = metrics.sparkSession.createDataFrame(metrics.limit(1).collect(), metrics.schema).coalesce(1)
     one.write.mode("overwrite").json(path)
     if run_id is not None:
         one.write.mode("overwrite").json(f"{path.rstrip('/')}_runs/run_id={run_id}")
