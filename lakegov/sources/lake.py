@@ -99,14 +99,27 @@ def read_master_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 # A3 --------------------------------------------------------------------------
+def jdbc_read_options(url: str, domain: str, view: str = "all", jdbc_options: dict | None = None,
+                      bounds: tuple[int, int] | None = None, rows_per_part: int = 500_000) -> dict[str, str]:
+    """Options of a JDBC read of one domain's golden view. With ``bounds`` (the
+    smallest and largest ``golden_sk``, from the caller's catalog or the last
+    commit) the read is split into ranges of about ``rows_per_part`` keys, one
+    connection each; without them it is one connection. Caller's options win."""
+    opts = {"url": url, "dbtable": f"v_mdm_{domain}_golden_{view}", "fetchsize": "10000"}
+    if bounds is not None:
+        low, high = bounds
+        parts = max(1, -(-(high - low + 1) // rows_per_part))
+        opts |= {"partitionColumn": "golden_sk", "lowerBound": str(low), "upperBound": str(high + 1), "numPartitions": str(parts)}
+    return opts | (jdbc_options or {})
+
+
 def read_golden(spark: SparkSession, source: str, domain: str, view: str = "all",
-                jdbc_options: dict | None = None) -> DataFrame:
+                jdbc_options: dict | None = None, bounds: tuple[int, int] | None = None) -> DataFrame:
     """Golden table of one domain. ``source`` is a lake path holding the golden
-    Parquet table (default), or a JDBC URL when ``jdbc_options`` are given;
-    a JDBC read is split on ``golden_sk`` when bounds are provided."""
+    Parquet table (default), or a JDBC URL when ``jdbc_options`` are given, read
+    with ``jdbc_read_options`` (split on ``golden_sk`` where ``bounds`` are given)."""
     if jdbc_options is not None:
-        opts = {"url": source, "dbtable": f"v_mdm_{domain}_golden_{view}"} | jdbc_options
-        return spark.read.format("jdbc").options(**opts).load()
+        return spark.read.format("jdbc").options(**jdbc_read_options(source, domain, view, jdbc_options, bounds)).load()
     df = spark.read.parquet(f"{source.rstrip('/')}/{domain}")
     return df.filter(F.col("is_current")) if view == "current" else df
 

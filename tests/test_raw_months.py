@@ -25,7 +25,7 @@ def test_months_of_different_types_are_one_table(spark):
     assert raw.filter("extra_column IS NOT NULL").count() == 10
 
 
-def test_common_types():
+def test_common_types(spark):
     from pyspark.sql import types as T
 
     schema = lambda **c: T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in c.items()])
@@ -58,3 +58,11 @@ def test_unrelated_tables_do_not_rebuild_layers(spark, tmp_path, monkeypatch):
     first, _ = catalog.validated(spark, sf)
     spark.range(3).write.parquet(f"{sf}/documents.parquet")
     assert catalog.validated(spark, sf)[0] is first
+
+
+def test_jdbc_reads_are_split_by_key_ranges():
+    whole = lake.jdbc_read_options("jdbc:x:y", "zone")
+    assert whole["dbtable"] == "v_mdm_zone_golden_all" and "partitionColumn" not in whole
+    split = lake.jdbc_read_options("jdbc:x:y", "vendor", "current", {"user": "u", "fetchsize": "5"}, (1, 1_200_000))
+    assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("golden_sk", "1", "1200001", "3")
+    assert split["fetchsize"] == "5" and split["user"] == "u"
