@@ -11,10 +11,12 @@ from lakegov.plans import catalog
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF0001), reason="test data not present")
 
-ROWS_ONLY = {"latest_version", "file_freshness"}
+ROWS_ONLY = {"file_freshness"}
 SAMPLE = ["validate_good", "validate_quarantine_reasons", "enrich_zones", "fact_star", "top_zones",
           "avg_by_rate", "dq_assertions", "part_matches", "pending_ids", "scd2_publish", "snapshot_upsert",
-          "survivorship_vendor", "audit_latest", "governance_kpis", "replace_batch", "ingest_stream"]
+          "survivorship_vendor", "audit_latest", "governance_kpis", "replace_batch", "ingest_stream",
+          "review_queue", "mixed_months_good", "mixed_months_reasons", "golden_store_publish", "latest_version",
+          "vendor_master_upsert", "ratecode_dim", "dq_metrics_merged", "platform_kpis"]
 
 
 def test_entry_runs(spark):
