@@ -313,7 +313,8 @@ def test_mix_short_stratum_beside_a_large_corpus(spark):
     got = Counter(r.doc_id for r in source_mix.mix(docs).filter("doc_id >= 0").select("doc_id").collect())
     cdf = {k: source_mix.steps(v) for k, v in source_mix.rates(docs, weights).items() if v <= source_mix.PART}
     for i in range(2000):
-        u = int(hashlib.md5(f"{source_mix.SEED}:{i}".encode()).hexdigest()[:13], 16) / 2**52
+        drawn_by = f"{i}/{hashlib.md5(b'x' * 3000).hexdigest()}/"
+        u = int(hashlib.md5(f"{source_mix.SEED}:{drawn_by}".encode()).hexdigest()[:13], 16) / 2**52
         assert got[i] == sum(c <= u for c in cdf[f"src{i % 20}"])
 
 
