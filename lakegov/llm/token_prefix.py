@@ -113,6 +113,7 @@ class PrefixCounter:
         for r, (x, y) in enumerate(pairs):
             self.made_of.setdefault(self.vocab[x + y], (self.vocab[x], self.vocab[y], r))
         self.pattern = regex.compile(splitting_pattern(path))
+        self.ascii_pattern = regex.compile(PIECES)     # the versions agree on ASCII
         self.white = frozenset(regex.findall(r"\s", "".join(map(chr, range(0xD800)))))
         self.odd_space = regex.compile(r"\s (?:\s|\Z)")
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
@@ -196,16 +197,28 @@ class PrefixCounter:
 
     # -- counts of whole texts ----------------------------------------------
     def _chunk_prefixes(self, chunk: str) -> Sequence[int]:
-        """Counts at every prefix of a chunk without white space behind its first character."""
-        pieces = self.pattern.findall(chunk)
-        if len(pieces) == 1:
+        """Counts at every prefix of a space and a chunk without one."""
+        plain = chunk.isascii()
+        first, *more = (self.ascii_pattern if plain else self.pattern).findall(chunk)
+        if first[0] != " " or len(first) < 2:
             out = self._plain_prefixes(chunk)
-        elif pieces[0][0] == " " and len(pieces[0]) > 1:
-            head = self._remember(pieces[0][1:])
-            out = [*head, *(head[-1] + c for c in self._plain_prefixes(chunk[len(pieces[0]):])[1:])]
+        elif not more:
+            counts = self.piece_counts(first.encode())
+            if plain:
+                out = counts
+            else:
+                out, at = [0], 0
+                for ch in first:
+                    at += len(ch.encode())
+                    out.append(counts[at])
         else:
-            out = self._plain_prefixes(chunk)
-        return bytes(out) if out[-1] < 256 else out
+            out = [*self._remember(first[1:])]
+            base, rest = out[-1], chunk[len(first):]
+            if plain and len(rest) == 1:
+                out.append(base + 1)
+            else:
+                out += [base + c for c in self._plain_prefixes(rest)[1:]]
+        return bytes(out) if max(out) < 256 else out
 
     def _chunks(self, text: str) -> list[Sequence[int]] | None:
         """Prefix counts of the space-separated chunks, the space before a chunk
@@ -241,7 +254,7 @@ class PrefixCounter:
     def _plain_prefixes(self, text: str) -> list[int]:
         """Counts at every prefix of a text without special strings, by code point."""
         out, base, run_at, run_base = [0], 0, None, 0
-        for m in self.pattern.finditer(text):
+        for m in (self.ascii_pattern if text.isascii() else self.pattern).finditer(text):
             piece, a = m.group(), m.start()
             counts = self.piece_counts(piece.encode())
             at = 0
