@@ -46,7 +46,7 @@ STAGES = [
 ]
 
 #: SQL cannot express the hashed n-gram models, the trie join or the suffix
-#: sort; ``tests/llm/test_pipeline.py`` holds run() against plain Python forms on a small fixture.
+#: sort; ``tests/llm/test_corpus_pipeline.py`` holds run() against plain Python forms on a small fixture.
 ORACLE_SQL: str | None = None
 
 

@@ -1,8 +1,9 @@
 """Training-data operators over whole text corpora.
 
-Ten operators (quality resampling, token counts, risk-controlled rules,
+Thirteen operators (quality resampling, token counts, risk-controlled rules,
 toxicity, suffix-array / line / SimHash deduplication, source mixing,
-benchmark decontamination, chat formatting), their registered queries
+benchmark decontamination, chat formatting, cross-tokenizer alignment,
+conversation prefix trie, language identification), their registered queries
 (``catalog``) and shared helpers. Nothing else in the library imports this
 subpackage.
 """
