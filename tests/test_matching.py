@@ -103,7 +103,7 @@ def test_score_exactly_at_thresholds(spark):
 names = st.text(alphabet="ab c-", min_size=0, max_size=9)
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["x", "y"]), names), min_size=2, max_size=14),
        st.integers(min_value=1, max_value=100))
 def test_property_signature_join_is_lossless(spark, items, stew_t):
