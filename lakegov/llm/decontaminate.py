@@ -144,7 +144,7 @@ class Items:
         self.share = np.random.default_rng(SEED).random((WALKS, BANDS * SAMPLES))
         every = np.arange(len(self.ids))
         own = self.embed([np.frombuffer(b, np.uint8) for b in self.text], every)
-        bucket = self.band_keys(own, every).reshape(len(self.ids), -1)
+        bucket = self.band_keys(own, every).reshape(len(self.ids), WALKS * BANDS)
         order = np.argsort(bucket.ravel(), kind="stable")
         self.bucket, self.bucket_item = bucket.ravel()[order], np.repeat(every, bucket.shape[1])[order]
 
@@ -185,7 +185,7 @@ class Items:
 
     def candidates(self, windows: list[np.ndarray], item: np.ndarray) -> list[tuple[int, int]]:
         """(window, item) of all items that share a bucket with a window of their size."""
-        keys = self.band_keys(self.embed(windows, item), item).reshape(len(windows), -1)
+        keys = self.band_keys(self.embed(windows, item), item).reshape(len(windows), WALKS * BANDS)
         lo, hi = np.searchsorted(self.bucket, keys, "left"), np.searchsorted(self.bucket, keys, "right")
         window, _ = np.nonzero(hi > lo)
         lo, n = lo[hi > lo], (hi - lo)[hi > lo]

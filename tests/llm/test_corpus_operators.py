@@ -232,6 +232,8 @@ def test_decontamination_buckets_hold_every_item_of_a_size():
     window = np.frombuffer(items.text[0], np.uint8)
     got = items.candidates([window], np.array([0]))
     assert (0, 0) in got and (0, 1) in got and (0, 2) not in got
+    assert items.candidates([np.frombuffer(b"qqqqq wwwww eeeee rrrrr tttttt", np.uint8)], np.array([0])) == []
+    assert decontaminate.Items([(0, ""), (1, " \n")]).search(*textnum.text_bytes(pa.array(["some text"]))) == []
 
 
 def test_decontamination_equals_brute_force():
