@@ -141,7 +141,9 @@ def platform_kpis(run_coverage: DataFrame, decisions_now: DataFrame, snapshots:
     at = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
     age = snapshots.agg(F.max(F.col("committed_at").cast("timestamp_ntz")).alias("newest")).select(
         F.round(F.timestamp_diff("SECOND", F.col("newest"), at) / 3600, 4).alias("age"))
-    one = cov.join(F.broadcast(dec)).join(F.broadcast(age))       # three one-row aggregates
+    # three one-row aggregates laid over each other: no join
+    one = (cov.unionByName(dec, allowMissingColumns=True).unionByName(age, allowMissingColumns=True)
+           .agg(*(F.max(c).alias(c) for c in ("rows", "pu", "do", "approved", "rejected", "age"))))
     rate = lambda c: F.round(F.col(c) / F.nullif(F.col("rows"), F.lit(0)), 4)
     kpi = lambda name, value, target, ok: F.struct(
         F.lit(name).alias("name"), value.cast("double").alias("value"), F.lit(target).cast("double").alias("target"),
