@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakegov.sources import lake
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -88,8 +90,12 @@ def write_mixed_months(spark: SparkSession, sf_dir: str, base: str) -> None:
     """The raw trips as three deliveries whose column types differ, in one
     prefix: by pickup month mod 3, (0) ids bigint, counts text, times as they
     are, (1) ids double, counts bigint, times text of which some are no time and
-    some are absent, (2) ids int, distances text."""
-    t = raw_trips(spark, sf_dir)
+    some are absent, (2) ids int, distances text. The trips are joined and stored
+    once, next to (not under) the prefix; every delivery is a scan of them."""
+    trips = raw_trips(spark, sf_dir)
+    tmp = f"{base.rstrip('/')}__staging"
+    trips.write.mode("overwrite").parquet(tmp)
+    t = spark.read.schema(trips.schema).parquet(tmp)
     part = F.month("tpep_pickup_datetime") % 3
     cents = F.floor(F.col("total_amount") * 100)
     ids = ("VendorID", "RatecodeID", "PULocationID", "DOLocationID")
@@ -102,6 +108,7 @@ def write_mixed_months(spark: SparkSession, sf_dir: str, base: str) -> None:
     }).write.mode("append").parquet(base)
     t.filter(part == 2).withColumns({**{c: F.col(c).cast("int") for c in ids}, "trip_distance": F.col("trip_distance").cast("string")}
                                     ).write.mode("append").parquet(base)
+    lake.remove(spark, tmp)
 
 
 MIXED_TRIPS_SQL = """

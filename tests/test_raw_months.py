@@ -6,7 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from lakegov.operators import quality
-from lakegov.plans import catalog
+from lakegov.plans import binding, catalog
 from lakegov.session import work_dir
 from lakegov.sources import lake
 
@@ -39,6 +39,30 @@ def test_all_eight_reasons_appear(spark):
     assert len(got) == 8 and {"PICKUP_TS_NULL", "DROPOFF_TS_NULL"} <= got
 
 
+def test_mixed_months_join_the_trips_once(spark, tmp_path, monkeypatch):
+    """All three deliveries come from one read of lineitem, hold every trip once and leave nothing else behind."""
+    n = 120
+    spark.range(n).select(
+        (F.col("id") % 40).alias("l_orderkey"), F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"),
+        (F.col("id") % 4).cast("int").alias("l_linenumber"), F.col("id").cast("double").alias("l_quantity"),
+        (F.col("id") + 0.25).alias("l_extendedprice"), F.lit(0.5).alias("l_discount"), F.lit(0.1).alias("l_tax"),
+        F.lit("2024-12-31 00:00:00").cast("timestamp_ntz").alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(40).select(F.col("id").alias("o_orderkey"), F.expr(
+        "cast(add_months(date'2024-01-01', cast(id % 12 as int)) as timestamp_ntz)").alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    whole = sorted(r.total_amount or 0 for r in binding.raw_trips(spark, str(tmp_path)).collect())
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(key):
+        read.add(1)
+        return True
+    plain, seen = binding.table, F.udf(seen, "boolean").asNondeterministic()
+    monkeypatch.setattr(binding, "table", lambda s, d, t: plain(s, d, t).filter(seen("l_orderkey")) if t == "lineitem" else plain(s, d, t))
+    binding.write_mixed_months(spark, str(tmp_path), f"{tmp_path}/out/raw")
+    assert read.value == n and os.listdir(f"{tmp_path}/out") == ["raw"]
+    raw = lake.read_raw(spark, f"{tmp_path}/out/raw")
+    assert sorted(r.total_amount or 0 for r in raw.collect()) == whole and len(whole) == n
+
+
 def test_state_of_many_files_takes_two_calls(spark, tmp_path):
     for i in range(5000):
         open(tmp_path / f"part-{i}.parquet", "w").close()
