@@ -28,9 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # raw trips
 # --------------------------------------------------------------------------
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the date of their order. A task hashes its share of the
+    orders (two narrow columns) and streams the line items past it, so the large
+    side is never sorted and nothing spills when a partition outgrows a task."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    j = li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey, "inner")
     k, ln = F.col("l_orderkey"), F.col("l_linenumber")
     q, price = F.col("l_quantity"), F.col("l_extendedprice")
     zero = F.lit(0.0).cast("double")

@@ -6,6 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from lakegov.operators import analytics, matching, star, survivorship
+from lakegov.plans import binding
 from lakegov.sources import seeds
 
 N = 30_000
@@ -63,3 +64,26 @@ def test_hot_vendor_survivorship(spark):
     assert out[1] == f"raw {max(i for i in range(N) if i % 3 == 0 or i % 97 == 1)}"
     plan = survivorship.survivorship_vendor(cand)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan                            # collapsed map-side before the shuffle
+
+
+def test_raw_trips_are_not_sorted_for_the_join(spark, tmp_path):
+    """Beyond the broadcast bound the line items are hashed, not sorted; a hot, a repeated and a null key keep their rows."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 7 != 0, F.col("id") % 50).cast("bigint")
+    spark.range(3000).select(
+        key.alias("l_orderkey"), F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        F.lit(2.0).alias("l_quantity"), F.lit(3.0).alias("l_extendedprice"), F.lit(0.5).alias("l_discount"), F.lit(0.1).alias("l_tax"),
+        F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = spark.range(42).select(
+        F.when(F.col("id") < 41, F.col("id") % 40).alias("o_orderkey"),     # key 0 twice, one null key, none above 39
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("o_orderdate"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    keys = [1 if i % 3 == 0 else i % 50 if i % 7 else None for i in range(3000)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        trips = binding.raw_trips(spark, str(tmp_path))
+        plan = trips._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "Sort" not in plan
+        assert trips.count() == sum(2 if k == 0 else 1 for k in keys if k is not None and k < 40)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
